@@ -25,20 +25,23 @@ SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 #: Rule: (statistic, value up to or from which it votes good, value from or up to which it votes bad, low values are good).
 RULES = {
-    "length": ("n_words", 50.0, 25.0, False),
+    "length": ("n_words", 40.0, 19.0, False),
     "word_size": ("mean_word", 12.0, 20.0, True),
     "symbols": ("symbols_per_word", 0.05, 0.2, True),
     "capitals": ("capital_share", 0.2, 0.5, True),
     "exclamations": ("exclamations_per_word", 0.05, 0.3, True),
     "line_copies": ("dup_line_share", 0.3, 0.5, True),
-    "repeats": ("repeat_share", 0.1, 0.25, True),
+    "repeats": ("repeat_share", 0.1, 0.3, True),
     "variety": ("distinct_share", 0.6, 0.25, False),
 }
 #: What is believed of a rule beforehand: P(good vote | good), P(bad vote | good), P(good vote | bad), P(bad vote | bad).
-BELIEF = (0.95, 0.001, 0.80, 0.15)
+BELIEF = (0.95, 0.001, 0.85, 0.14)
 PRIOR_GOOD = 0.85
 #: Weight of these beliefs against all documents. Kinds of junk exclude each other, so votes alone don't tell which class is which.
-BELIEF_WEIGHT = 2.0
+BELIEF_WEIGHT = 1.0
+#: Bounds of the estimates: a rule calls at most so many good documents bad, and at least so many bad ones good, since
+#: junk of one kind passes the rules against the others.
+MOST_FALSE_ALARMS, LEAST_PASSED = 0.003, 0.85
 ROUNDS = 20
 #: Documents whose posterior probability of being good is at least this are kept.
 THRESHOLD = 0.5
@@ -127,6 +130,9 @@ def estimate(stats: DataFrame, rounds: int = ROUNDS) -> tuple[dict[tuple[str, in
                     if r[k] is not None:
                         hits[k, c, r[k]] += mass
         model = {key: x / weight[key[1]] for key, x in hits.items()}
+        for k in RULES:
+            model[k, 1, 0] = min(model[k, 1, 0], MOST_FALSE_ALARMS)
+            model[k, 0, 1] = max(model[k, 0, 1], LEAST_PASSED)
         prior = weight[1] / (weight[0] + weight[1])
     return model, prior
 
@@ -134,7 +140,7 @@ def estimate(stats: DataFrame, rounds: int = ROUNDS) -> tuple[dict[tuple[str, in
 def evidence(model: dict[tuple[str, int, int], float], rule: str, vote: int | None) -> float:
     """The log of how much likelier a vote (null: an abstention) is on a good document than on a bad one."""
     if vote is None:
-        rest = [max(1e-4, 1 - model[rule, c, 1] - model[rule, c, 0]) for c in (1, 0)]
+        rest = [max(1e-2, 1 - model[rule, c, 1] - model[rule, c, 0]) for c in (1, 0)]
         return math.log(rest[0] / rest[1])
     return math.log(model[rule, 1, vote] / model[rule, 0, vote])
 
