@@ -66,3 +66,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
     )
+
+
+@query("op7_minhash_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op07_near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -15,6 +15,7 @@ import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer document is worked on alone.
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 1 << 12
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -80,7 +81,7 @@ def pieces(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[slice, n
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8) if len(texts) else np.zeros(0, np.uint8)
     at = 0
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
+        to = min(max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1), at + CHUNK_ROWS)
         yield slice(at, to), data[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
         at = to
 
@@ -132,5 +133,19 @@ def shingles(w: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return h, at
 
 
+#: Bits of a shingle's hash in sets; the other 12 hold the row within a chunk while a chunk is sorted.
+SET_BITS = 52
+
+
+def shingle_sets(w: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The set of shingles of each row, as 52-bit hashes: all of them by row and value, and where each row begins."""
+    h, row = shingles(w, k)
+    key = np.sort((row.astype(np.uint64) << np.uint64(SET_BITS)) | (h >> np.uint64(64 - SET_BITS)))
+    if len(key):
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    first = np.searchsorted(key >> np.uint64(SET_BITS), np.arange(w.n_rows + 1))
+    return key & np.uint64((1 << SET_BITS) - 1), first
+
+
 def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
