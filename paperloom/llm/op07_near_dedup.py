@@ -6,10 +6,12 @@ trees, a label of ``DEPTH`` MinHash values; a tree orders the classes by label,
 neighbours. The prefix that makes a region adapts: regions of more than ``CROWDED`` classes at one depth are divided by
 the next value.
 
-Candidates come in two rounds, both linear in the number of classes: first each class with the least one of its region,
-at every depth down to its own region; then, in regions that still hold several components, classes with their
-neighbours in label order (all others of the region where it has at most ``CROWDED`` classes). Every link is confirmed on
-the full sets. Links join into components over the shared storage; nothing is collected.
+Candidates come in three rounds: each class with the least one of its region, at every depth down to its own region;
+then, in regions that still hold several components, classes with their neighbours in label order (all others of the
+region where it has at most ``CROWDED`` classes); then, in crowded shallow regions that still hold several components,
+the classes outside the largest component with all others, block by block. Pairs within a component never come up again,
+so a group of copies costs as many pairs as it has members. Every link is confirmed on the full sets. Links join into
+components over the shared storage; nothing is collected.
 
 Two sets with a similarity of 0.85 share the first three values in some tree with probability 1 - (1 - 0.85**3)**12,
 that is 0.99999.
@@ -125,6 +127,54 @@ def neighbour_pairs(found: DataFrame, component: DataFrame, rows: int) -> DataFr
     return pairs.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
 
 
+def crowded_links(found: DataFrame, component: DataFrame, rows: int, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Links (a, b) between different components within shallow regions of more than ``CROWDED`` classes.
+
+    In each region the classes outside its largest component are held against all of it, in blocks of ``CHUNK`` by
+    ``CHUNK`` classes, so no task gets more than a block, and within a block only classes that share a shingle meet.
+    """
+    shallow, size = f"p{SHALLOW}", f"n{SHALLOW}"
+    joined = found.where(F.col(size) > CROWDED).select("node", shallow, size).join(small_or_shuffled(component, rows), "node", "left")
+    joined = stored(joined.withColumn("component", F.coalesce("component", "node")))
+    counts = joined.groupBy(shallow, "component").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy(shallow).agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1").drop("parts")
+    open_ = stored(joined.join(mixed, shallow).withColumn("blocks", F.ceil(F.col(size) / CHUNK)))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    each = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    asked = open_.where("component != main").select("node", "component", shallow, F.lit(True).alias("asks"), own.alias("query_block"), F.explode(each).alias("block"))
+    held = open_.select("node", "component", shallow, F.lit(False).alias("asks"), F.explode(each).alias("query_block"), own.alias("block"))
+    placed = asked.unionByName(held).join(sets, "node")
+    return placed.groupBy(shallow, "query_block", "block").applyInArrow(lambda rows: block_links(rows, threshold), "a long, b long").distinct()
+
+
+def block_links(rows: pa.Table, threshold: int) -> pa.Table:
+    """For each class that asks and each other component here, one link if there is any."""
+    asks = rows.column("asks").to_numpy(zero_copy_only=False)
+    node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+    lists = rows.column("shingles").combine_chunks()
+    offs, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    sizes = np.diff(offs)
+    held = np.flatnonzero(~asks)
+    values = np.concatenate([np.zeros(0, np.int64), *[flat[offs[i] : offs[i + 1]] for i in held]])
+    owner = np.repeat(np.arange(len(held)), sizes[held])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    found = []
+    for q in np.flatnonzero(asks):
+        mine = flat[offs[q] : offs[q + 1]]
+        begin, end = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+        hits = [owner[x:y] for x, y in zip(begin, end, strict=True) if y > x]
+        if not hits:
+            continue
+        both = np.bincount(np.concatenate(hits), minlength=len(held))
+        linked = (100 * both >= threshold * (sizes[held] + sizes[q] - both)) & (component[held] != component[q])
+        if linked.any():
+            at = held[linked]
+            for i in at[np.unique(component[at], return_index=True)[1]]:
+                found.append((min(node[q], node[i]), max(node[q], node[i])))
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The ``pairs`` (a, b) with 100 * intersection >= threshold * union."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
@@ -143,6 +193,15 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(chosen.mapInArrow(full_sets, "node long, shingles array<long>"))
 
 
+def joined_with(links: DataFrame, component: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components with ``more`` links."""
+    more = stored(more)
+    if not more.head(1):
+        return links, component
+    links = links.unionByName(more)
+    return links, stored(components(links))
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
     signed = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(signatures, SIGNATURE_SCHEMA))
@@ -154,11 +213,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     links = stored(confirmed(tested, sets, threshold))
     component = stored(components(links))
     more = stored(neighbour_pairs(found, component, component.count()).join(tested, ["a", "b"], "left_anti"))
-    if more.head(1):
-        known = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node"), "node", "left_anti")
-        again = stored(confirmed(more, sets.unionByName(sets_of(docs, known)), threshold))
-        if again.head(1):
-            component = stored(components(links.unionByName(again)))
+    links, component = joined_with(links, component, confirmed(more, sets, threshold))
+    links, component = joined_with(links, component, crowded_links(found, component, component.count(), sets, threshold))
     # Classes of one document without links are left out: their document is its own component.
     linked = classes.join(small_or_shuffled(component, component.count()), "node", "left").where("copies > 1 or component is not null or node is null")
     linked = stored(linked.select("key_a", "key_b", "n_shingles", F.coalesce("component", "node").alias("component_id"), F.lit(True).alias("linked")))
