@@ -73,3 +73,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .op07_near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op03_decontamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
