@@ -80,3 +80,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .op03_decontamination import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op01_importance import importance
+
+    return importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op05_toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
