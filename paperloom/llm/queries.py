@@ -94,3 +94,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .op05_toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op02_mixing_lm import scores
+
+    return scores(table(spark, sf_dir, "documents"))
