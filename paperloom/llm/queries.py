@@ -101,3 +101,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .op02_mixing_lm import scores
 
     return scores(table(spark, sf_dir, "documents"))
+
+
+@query("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op08_templates import extract
+
+    return extract(table(spark, sf_dir, "pages"))
