@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import grams, label_sample
-from .storage import small_or_shuffled, stored
+from .storage import small_or_shuffled, stored, without
 from .tokens import string_column, words
 
 BITS = 18
@@ -131,5 +131,4 @@ def importance(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are drawn, with their columns."""
-    drop = importance(docs, labels).where("not kept").select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti")
+    return without(docs, importance(docs, labels).where("not kept"))

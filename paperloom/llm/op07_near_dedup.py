@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .graph import components
-from .storage import small_or_shuffled, stored
+from .storage import small_or_shuffled, stored, without
 from .tokens import mix, shingle_sets, string_column, words
 
 TREES, DEPTH, SHALLOW = 12, 5, 3
@@ -225,8 +225,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component: of its first document."""
-    drop = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__doc_id")).distinct()
-    rest = docs.join(drop, F.col("doc_id") == F.col("__doc_id"), "left_anti")
+    rest = without(docs, near_duplicates(docs).where("not kept"))
     repeated = stored(docs.groupBy(F.col("doc_id").alias("__doc_id")).count().where("count > 1 and __doc_id is not null").select("__doc_id"))
     rows = repeated.count()
     if not rows:

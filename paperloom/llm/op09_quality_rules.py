@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import stored, without
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 8
@@ -164,5 +164,5 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def filter_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept; rows that repeat a doc_id stay if one of them is kept."""
-    keep = quality(docs).where("kept").select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_semi")
+    verdicts = quality(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return without(docs, verdicts.where("not kept"))

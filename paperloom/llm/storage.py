@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,6 +38,10 @@ BROADCAST_ROWS = 500_000
 
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` allow it; the planner shuffles it otherwise."""
-    from pyspark.sql import functions as F
-
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id (null: like any other) is not among those of ``ids``."""
+    ids = stored(ids.select(F.col("doc_id").alias("__doc_id")).distinct())
+    return docs.join(small_or_shuffled(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti")
