@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash fingerprints of item-sized windows.
 
-Words are runs of letters and digits in lower case. Every benchmark item gets a size class: the largest window of c words, on a grid of steps c // 4 in a document, of which
+Words are runs of letters and digits in lower case. Every benchmark item gets a size class: the largest window of c words, on a grid of steps c // 2 in a document, of which
 one always falls inside a copy of four fifths of the item. All windows of c words of the item are fingerprinted, and so are the windows
-of each document on the grid of each class in use. A fingerprint has 64 bits in eight blocks of eight: two fingerprints
-within a Hamming distance of ``RADIUS`` = 7 agree in a block, so looking all eight blocks up finds every pair within it.
+of each document on the grid of each class in use. A fingerprint has 64 bits in six blocks: two fingerprints within a
+Hamming distance of ``RADIUS`` = 5 agree in a block, so looking all blocks up finds every pair within it.
 For each pair the document's words where the item would lie are compared with the item exactly: the weight of the item's
 5-word shingles that occur there over the weight of all of them, a shingle weighing 1 over the number of items that
 contain it. From ``THRESHOLD`` on the document is contaminated by the item.
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from .tokens import ALNUM, Words, shingles, string_column, words
 
-RADIUS = 7
+RADIUS = 5
+#: (lowest bit, bits) of each block; one more than the radius.
+BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 THRESHOLD = 0.8
 #: Items that are looked up at once.
 BLOCK = 2000
@@ -50,7 +52,7 @@ def size_classes(most: int) -> list[int]:
 
 
 def step(size: int) -> int:
-    return max(1, size // 4)
+    return max(1, size // 2)
 
 
 def class_of(n_words: int) -> int:
@@ -67,28 +69,28 @@ def prefix_counts(h: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(counts: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
-    """Eight bytes for each window of ``size`` words: a bit is set if over half of the words have it."""
+    """A number for each window of ``size`` words: a bit is set if over half of the words have it."""
     if size < 1 << 14:
         set_bits = (counts[:, start + size] - counts[:, start]) > size // 2
     else:  # beyond the modulus: windows of their own
         set_bits = np.stack([(counts[:, s + 1 : s + size + 1] - counts[:, s : s + size] != 0).sum(axis=1) > size // 2 for s in start], axis=1)
-    return np.packbits(set_bits, axis=0)
+    return np.ascontiguousarray(np.packbits(set_bits, axis=0).T).view(np.uint64).ravel()
+
+
+def block_of(prints: np.ndarray, low: int, width: int) -> np.ndarray:
+    return ((prints >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
 @dataclass
 class Index:
-    """Items of one block. By size class: fingerprints as eight rows of bytes and as numbers, their item and offset."""
+    """Items that are looked up at once. By size class: fingerprints, their item and offset, and a table for each block."""
 
     ids: list[int | None]
     size: np.ndarray
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]
     shingles: list[tuple[np.ndarray, np.ndarray]]
 
 
-def whole(eight: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(eight.T).view(np.uint64).ravel()
-
-
 def build_index(items: list[tuple[int | None, str | None]]) -> Index:
     sizes, hashes, sets = [], [], []
     for w in plain_words(pa.array([t for _, t in items], pa.string())):
@@ -107,12 +109,13 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index:
             found.setdefault(c, []).append((fingerprints(prefix_counts(h), start, c), np.full(len(start), i), start))
     windows = {}
     for c, parts in found.items():
-        eight = np.concatenate([p[0] for p in parts], axis=1)
+        prints = np.concatenate([p[0] for p in parts])
         tables = []
-        for b in range(8):
-            order = np.argsort(eight[b], kind="stable")
-            tables.append((order, np.searchsorted(eight[b][order], np.arange(257))))
-        windows[c] = (eight, whole(eight), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), tables)
+        for low, width in BLOCKS:
+            value = block_of(prints, low, width)
+            order = np.argsort(value, kind="stable")
+            tables.append((order, np.searchsorted(value[order], np.arange((1 << width) + 1))))
+        windows[c] = (prints, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), tables)
     return Index([i for i, _ in items], np.array(sizes, np.int64), windows, weighted)
 
 
@@ -120,17 +123,17 @@ def candidates(w: Words, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray,
     """(row, first word where the item would lie, item) of the windows within the radius of a window of an item."""
     counts = prefix_counts(w.hash)
     length = np.diff(w.first)
-    for c, (_, prints, item, offset, tables) in index.windows.items():
+    for c, (prints, item, offset, tables) in index.windows.items():
         s = step(c)
         per_row = np.maximum(0, (length - c) // s + 1)
         row = np.repeat(np.arange(w.n_rows), per_row)
         start = w.first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * s
         for at in range(0, len(start), 1 << 15):
             part = slice(at, at + (1 << 15))
-            eight = fingerprints(counts, start[part], c)
-            mine = whole(eight)
-            for b, (order, first) in enumerate(tables):
-                begin, n = first[eight[b]], first[eight[b].astype(np.int64) + 1] - first[eight[b]]
+            mine = fingerprints(counts, start[part], c)
+            for (low, width), (order, first) in zip(BLOCKS, tables, strict=True):
+                value = block_of(mine, low, width)
+                begin, n = first[value], first[value + 1] - first[value]
                 window = np.repeat(np.arange(len(mine)), n)
                 entry = order[np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)]
                 near = np.flatnonzero(np.bitwise_count(mine[window] ^ prints[entry]) <= RADIUS)
