@@ -108,3 +108,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .op08_templates import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op10_licenses import licences
+
+    return licences(table(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .op06_language import languages
+
+    return languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
