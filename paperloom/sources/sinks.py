@@ -1,0 +1,28 @@
+"""Writing results: a new version each time, never over what is being read."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def write_version(rows: DataFrame, path: str, version: int) -> str:
+    """Parquet under ``path``/v<version>; earlier versions are the backup."""
+    out = f"{path}/v{version:06d}"
+    rows.write.mode("errorifexists").parquet(out)
+    return out
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").json(path)
+
+
+def append_new(rows: DataFrame, known: DataFrame, path: str, key: list[str]) -> None:
+    """Append the rows whose key is not known yet."""
+    rows.join(known.select(*key).distinct(), key, "left_anti").write.mode("append").json(path)
+
+
+def report_markdown(report: DataFrame) -> DataFrame:
+    """One line of Markdown for each block that is not passed, and its place."""
+    row = F.format_string("| %s | %d-%d | %s | %d |", F.col("file"), F.col("start"), F.col("end"), F.col("colour"), F.col("n_problems"))
+    return report.where("colour != 'pass'").select("file", "start", row.alias("line")).orderBy("file", "start")

@@ -1 +1 @@
-"""Part of paperloom; see the README for what lives here."""
+"""Streaming forms: results of a poll, heartbeats and stalls, with watermarks and bounded state."""
