@@ -6,13 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
-from paperloom.operators import assembly, blocks, cleaning, gates, inventory, plugins, review, slicing
+from paperloom.operators import blocks, cleaning, gates, inventory, review, slicing
 from paperloom.plans import views as V
 from paperloom.plans.registry import query
-from paperloom.streaming import state
-
-FENCE_SQL = "ltrim({0}) LIKE '```%'"
-
 
 # ---- scans and blocks
 
@@ -164,7 +160,7 @@ def table_separator_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DOUBLE = V.sql_count("text", "'$$'")
 _REST = "replace(text, '$$', '')"
-_SINGLE = f"({V.sql_count(_REST, chr(39) + '$' + chr(39))} - {V.sql_count(_REST, 'chr(92) || ' + chr(39) + '$' + chr(39)).replace('/ length(chr(92) ||', '/ length(chr(92) ||')})"
+_SINGLE = f"({V.sql_count(_REST, chr(39) + '$' + chr(39))} - {V.sql_count(_REST, 'chr(92) || ' + chr(39) + '$' + chr(39))})"
 _RUNS = r"len(list_filter(regexp_extract_all(text, '\\?\$+'), lambda x: x <> chr(92) || '$'))"
 
 
@@ -273,9 +269,6 @@ def l3_plan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.plan_cost(rows)
 
 
-_REGION = "CASE doc_id % 5 WHEN 0 THEN 'equation' WHEN 1 THEN 'image' WHEN 2 THEN 'table' WHEN 3 THEN 'text' ELSE 'chart' END"
-
-
 @query("page_elements_top5", f"""WITH {V.ELEMENTS_SQL}, t AS (SELECT doc_id, page_idx, elem_no, CASE (doc_id + elem_no) % 5 WHEN 0 THEN 'equation' WHEN 1 THEN 'image' WHEN 2 THEN 'table' WHEN 3 THEN 'text' ELSE 'chart' END AS type FROM elements),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_idx ORDER BY elem_no) AS place FROM t WHERE type <> 'text')
 SELECT doc_id, elem_no, type, place, CASE type WHEN 'equation' THEN 'formula' WHEN 'table' THEN 'table' ELSE 'figure' END AS prompt FROM r WHERE place <= 5""")
