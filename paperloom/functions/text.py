@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # What the normal form of a line leaves out besides white space.
 PUNCTUATION = ".,，。！!？?、；;：:()（）[]【】\"'“”‘’·…-—_=+*★☆●○■□"
-LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 FENCE = "```"
 IMAGE_REF = r"!\[[^\]]*\]\(([^)]+)\)"
 EMBED_REF = r"!\[[^\]]*\]\(images/([^)\s]+)\)"
@@ -17,7 +17,7 @@ UNSAFE = r'[<>:"/\\|?*]'
 def norm(text: Column) -> Column:
     """The key of a line: lower case, without white space and punctuation."""
     escaped = "".join("\\" + c if c in r".()[]-+*?!" else c for c in PUNCTUATION)
-    return F.lower(F.regexp_replace(F.regexp_replace(text, "[　﻿]", ""), f"(?U)[\\s{escaped}]", ""))
+    return F.lower(F.regexp_replace(F.regexp_replace(text, "[\u3000\ufeff]", ""), f"(?U)[\\s{escaped}]", ""))
 
 
 def strip(text: Column) -> Column:
