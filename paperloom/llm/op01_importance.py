@@ -1,11 +1,13 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, and a Gumbel top-k draw.
 
-The target model counts hashed words and pairs of neighbours of documents that are labelled as good, the raw model those
-of all documents; counts are added up per bucket by a grouped aggregate. A document's importance weight is the mean, over
-its n-grams, of log(target / raw), times ``SHARPNESS``; a hashed Gumbel number is added, and the k greatest sums are
-drawn, which samples k documents without replacement in proportion to exp(weight).
-
-k is the number of documents whose weight reaches a cut that is found on the labelled documents. The k-th greatest sum is
+The target model counts hashed words and pairs of neighbours, each once a document, of documents that are labelled as
+good, the raw model those of all documents; counts are added up per bucket by a grouped aggregate. Both are smoothed by
+``SMOOTHING`` documents, so n-grams that are too rare to have been expected in the target tell nothing. A document's
+importance weight is the mean, over its n-grams, of log(target / raw), times ``SHARPNESS``; a hashed Gumbel number is
+added, and the k greatest sums are drawn, which samples k documents without replacement in proportion to exp(weight).
+
+k is the number of documents whose weight reaches a cut that is found on labelled documents outside the target model.
+The k-th greatest sum is
 found by counting sums in ever finer bins, so nothing is sorted in one place; ties at the k-th place fall to the smaller
 doc_id.
 
@@ -23,31 +25,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import grams, label_sample
+from .features import grams, hashed_share, label_sample
 from .storage import small_or_shuffled, stored, without
-from .tokens import string_column, words
+from .tokens import Words, string_column, words
 
 BITS = 18
-#: Labelled documents of the target model, and those that the cut is found on (chosen by hashed doc_id).
+#: Labelled documents in all (chosen by hashed doc_id).
 MOST_EXAMPLES = 16_000
-SMOOTHING = 0.5
+SMOOTHING = 5.0
+#: Share of the labelled documents that the cut is found on, outside the target model.
+FOR_CUT = 0.3
 #: A weight of one nat a n-gram counts as so many against the Gumbel numbers, whose standard deviation is 1.28.
 SHARPNESS = 200.0
 #: Share of good labelled documents that the cut may lose before the draw, and how far below it lies, in nats a n-gram.
-LOST, MARGIN = 0.002, 0.02
+LOST, MARGIN = 0.002, 0.01
 #: N-grams without a preference that every document counts as having besides its own, so that short ones aren't extreme.
 SHRINK = 16
 SEED = 23
 BINS = 4096
 
 
+def distinct_grams(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket), each pair once."""
+    row, bucket = grams(w, BITS)
+    key = np.sort((row << BITS) | bucket)
+    key = key[np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])]
+    return key >> BITS, key & ((1 << BITS) - 1)
+
+
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, raw, target): n-grams of a task's rows by bucket, of all rows and of those with ``good``."""
     raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
     for batch in batches:
         good, at = string_column(batch, "good").fill_null(False).to_numpy(zero_copy_only=False).astype(bool), 0
         for w in words(string_column(batch, "text")):
-            row, bucket = grams(w, BITS)
+            row, bucket = distinct_grams(w)
             raw += np.bincount(bucket, minlength=1 << BITS)
             if good[at : at + w.n_rows].any():
                 target += np.bincount(bucket[good[at : at + w.n_rows][row]], minlength=1 << BITS)
@@ -66,10 +78,8 @@ def log_ratio(docs: DataFrame, labelled: DataFrame) -> np.ndarray | None:
     raw[got["bucket"].to_numpy()], target[got["bucket"].to_numpy()] = got["raw"].to_numpy(), got["target"].to_numpy()
     if not target.sum():
         return None
-    # Buckets without target text keep their share of the raw text times a small constant.
-    prior = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * len(raw))
-    strength = max(1.0, 0.02 * target.sum())
-    return np.log((target + strength * prior) / (target.sum() + strength) / prior).astype(np.float32)
+    expected = raw * (target.sum() / raw.sum())
+    return np.log((target + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
 
 
 def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
@@ -79,10 +89,10 @@ def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         for batch in batches:
             at = 0
             for w in words(string_column(batch, "text")):
-                row, bucket = grams(w, BITS)
+                row, bucket = distinct_grams(w)
                 n = np.bincount(row, minlength=w.n_rows)
                 total = np.bincount(row, ratio[bucket], minlength=w.n_rows)
-                yield pa.RecordBatch.from_arrays([string_column(batch, "doc_id").slice(at, w.n_rows), pa.array(n), pa.array(total / (n + SHRINK))], ["doc_id", "n_grams", "mean_ratio"])
+                yield pa.RecordBatch.from_arrays([string_column(batch, "doc_id").slice(at, w.n_rows), pa.array(n), pa.array(total.astype(np.float64) / (n + SHRINK))], ["doc_id", "n_grams", "mean_ratio"])
                 at += w.n_rows
 
     texts = docs.select("doc_id", "text")
@@ -109,15 +119,15 @@ def kth_greatest(sums: DataFrame, k: int) -> tuple[float, int]:
 
 def importance(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_grams, weight, key and kept for each row of ``docs``."""
-    labelled = stored(label_sample(labels, "quality", MOST_EXAMPLES, 1))
-    ratio = log_ratio(docs, labelled)
+    labelled = stored(label_sample(labels, "quality", MOST_EXAMPLES, 1).withColumn("for_cut", hashed_share(F.col("doc_id"), 11) < FOR_CUT))
+    ratio = log_ratio(docs, labelled.where("not for_cut"))
     if ratio is None:
         found = weighed(docs, np.zeros(1 << BITS, np.float32))
         return found.select("doc_id", "n_grams", F.lit(0.0).alias("weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"))
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40)) + 0.5) / F.lit(float(1 << 40))
     found = weighed(docs, ratio).withColumn("weight", F.col("mean_ratio") * SHARPNESS)
     found = stored(found.withColumn("key", F.col("weight") - F.log(-F.log(uniform))))
-    good = found.join(small_or_shuffled(labelled.where("label = 1").select("doc_id"), MOST_EXAMPLES), "doc_id")
+    good = found.join(small_or_shuffled(labelled.where("label = 1 and for_cut").select("doc_id"), MOST_EXAMPLES), "doc_id")
     cut = good.agg(F.percentile("mean_ratio", LOST)).first()[0]
     k = found.where(F.col("mean_ratio") >= (cut if cut is not None else float("-inf")) - MARGIN).count()
     if not k:
