@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from .storage import small_or_shuffled, stored
@@ -29,7 +30,7 @@ SEED = 17
 ADDED = ("size", "source_size", "target", "rate", "copies", "taken")
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def word_count(texts: pa.Array) -> pa.Array:
     """Words of each text: runs of other characters than space and U+0009-U+000D."""
     return pa.array(np.concatenate([np.zeros(0, np.int64), *[np.diff(w.first) for w in words(texts, hashed=False)]]))
