@@ -1,7 +1,7 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, and a Gumbel top-k draw.
 
-The target model counts hashed words and pairs of neighbours, each once a document, of documents that are labelled as
-good, the raw model those of all documents; counts are added up per bucket by a grouped aggregate. Both are smoothed by
+The target model counts hashed tokens (words and runs of punctuation) and pairs of neighbours, each once a document, of
+documents that are labelled as good, the raw model those of all documents; counts are added up per bucket by a grouped aggregate. Both are smoothed by
 ``SMOOTHING`` documents, so n-grams that are too rare to have been expected in the target tell nothing. A document's
 importance weight is the mean, over its n-grams, of log(target / raw), times ``SHARPNESS``; a hashed Gumbel number is
 added, and the k greatest sums are drawn, which samples k documents without replacement in proportion to exp(weight).
@@ -27,12 +27,14 @@ from pyspark.sql import functions as F
 
 from .features import grams, hashed_share, label_sample
 from .storage import small_or_shuffled, stored, without
-from .tokens import Words, string_column, words
+from .tokens import WORD_OR_MARK, Words, string_column, words
 
 BITS = 18
 #: Labelled documents in all (chosen by hashed doc_id).
 MOST_EXAMPLES = 16_000
 SMOOTHING = 5.0
+#: Log ratios are drawn towards zero by this much: slight ones come from the sample's mix of languages and topics.
+SLIGHT = 0.4
 #: Share of the labelled documents that the cut is found on, outside the target model.
 FOR_CUT = 0.3
 #: A weight of one nat a n-gram counts as so many against the Gumbel numbers, whose standard deviation is 1.28.
@@ -58,7 +60,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
     for batch in batches:
         good, at = string_column(batch, "good").fill_null(False).to_numpy(zero_copy_only=False).astype(bool), 0
-        for w in words(string_column(batch, "text")):
+        for w in words(string_column(batch, "text"), part=WORD_OR_MARK):
             row, bucket = distinct_grams(w)
             raw += np.bincount(bucket, minlength=1 << BITS)
             if good[at : at + w.n_rows].any():
@@ -79,7 +81,8 @@ def log_ratio(docs: DataFrame, labelled: DataFrame) -> np.ndarray | None:
     if not target.sum():
         return None
     expected = raw * (target.sum() / raw.sum())
-    return np.log((target + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
+    ratio = np.log((target + SMOOTHING) / (expected + SMOOTHING))
+    return (np.sign(ratio) * np.maximum(np.abs(ratio) - SLIGHT, 0)).astype(np.float32)
 
 
 def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
@@ -88,7 +91,7 @@ def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for w in words(string_column(batch, "text")):
+            for w in words(string_column(batch, "text"), part=WORD_OR_MARK):
                 row, bucket = distinct_grams(w)
                 n = np.bincount(row, minlength=w.n_rows)
                 total = np.bincount(row, ratio[bucket], minlength=w.n_rows)

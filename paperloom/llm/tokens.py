@@ -25,6 +25,9 @@ LOWER[0x41:0x5B] += 0x20
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
+#: Kinds of bytes: 1 words without punctuation, 2 punctuation.
+WORD_OR_MARK = np.where(SPACE, 0, np.where(ALNUM, 1, 2)).astype(np.uint8)
+
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,15 +90,17 @@ def pieces(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[slice, n
 
 
 def words(texts: pa.Array, limit: int = CHUNK_BYTES, part: np.ndarray | None = None, hashed: bool = True) -> Iterator[Words]:
-    """The words of ``texts``; ``part`` marks the bytes that words consist of (all but white space unless given)."""
-    inside_of = ~SPACE if part is None else part
+    """The words of ``texts``: runs of bytes of one kind, by ``part`` (0: none), or all but white space."""
+    kind_of = ~SPACE if part is None else part
     for rows, data, offs in pieces(texts, limit):
-        inside = inside_of[data]
+        kind = kind_of[data]
+        inside = kind > 0
         edge = np.zeros(len(data) + 1, bool)
         edge[offs] = True
+        differs = (kind[1:] != kind[:-1]) | edge[1:-1]
         begin, last = inside.copy(), inside.copy()
-        begin[1:] &= ~inside[:-1] | edge[1:-1]
-        last[:-1] &= ~inside[1:] | edge[1:-1]
+        begin[1:] &= differs
+        last[:-1] &= differs
         start, end = np.flatnonzero(begin), np.flatnonzero(last) + 1
         yield Words(rows, data, start, end, np.searchsorted(start, offs), hashes(data, inside, start, end) if hashed else start)
 

@@ -83,12 +83,17 @@ def test_filters_keep_columns(odd_docs, no_docs, odd_labels, items):
 
 
 def test_importance(spark):
-    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
-    got = {r["doc_id"]: r["kept"] for r in op01_importance.importance(docs, labels).collect()}
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = op01_importance.importance(docs, labels).collect()
+    got = {r["doc_id"]: r["kept"] for r in rows}
     truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
     good = [got[i] for i, q in truth.items() if q == 1]
     bad = [got[i] for i, q in truth.items() if q == 0]
-    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.3 * len(bad)
+    unlabelled = [got[i] for i in got if i not in truth]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.5 * len(bad) and sum(unlabelled) >= 0.85 * len(unlabelled)
+    # The kept ones are those with the greatest sums.
+    assert min(r["key"] for r in rows if r["kept"]) >= max(r["key"] for r in rows if not r["kept"])
 
 
 def test_kth_greatest(spark):
@@ -316,7 +321,7 @@ def test_pipeline(spark):
     assert final.columns == [*docs.columns, "copy"]
     quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     ids = {r["doc_id"] for r in final.collect()}
-    assert len(ids) > 100 and sum(quality.get(i) == 0 for i in ids) <= 5
+    assert len(ids) > 100 and sum(quality.get(i) == 0 for i in ids) <= 5  # weights below the sources' sizes drop some
     rows = [(r["doc_id"], r["text"]) for r in final.dropDuplicates(["doc_id"]).collect()]
     assert all(i == c for i, c in brute_components(rows)[0].items())
     assert all(r["copy"] <= 2 for r in final.collect())
