@@ -36,6 +36,8 @@ THRESHOLD = 0.8
 #: Items that are looked up at once.
 BLOCK = 2000
 SHINGLE = 5
+#: Columns that are added last while documents are looked through.
+ITEMS, SIMILARITY = "__benchmark_items", "__benchmark_similarity"
 
 
 def plain_words(texts: pa.Array) -> Iterator[Words]:
@@ -175,14 +177,14 @@ def blocks(benchmark: DataFrame) -> Iterator[Index]:
 
 
 def adding_hits(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow: adds the hits of a block of items to the columns items and similarity."""
+    """For mapInArrow: adds the hits of a block of items to the last two columns."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            items = [list(x or ()) for x in string_column(batch, "items").to_pylist()]
-            best = [x or 0.0 for x in string_column(batch, "similarity").to_pylist()]
+            items = [list(x or ()) for x in batch.column(batch.num_columns - 2).to_pylist()]
+            best = [x or 0.0 for x in batch.column(batch.num_columns - 1).to_pylist()]
             for w in plain_words(string_column(batch, "text")):
                 for (row, item), x in hits(w, index).items():
                     items[w.rows.start + row].append(index.ids[item])
@@ -195,7 +197,7 @@ def adding_hits(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    found = docs.withColumns({"items": F.array().cast("array<long>"), "similarity": F.lit(0.0)})
+    found = docs.withColumns({ITEMS: F.array().cast("array<long>"), SIMILARITY: F.lit(0.0)})
     for index in blocks(benchmark):
         found = found.mapInArrow(adding_hits(index), found.schema)
     return found
@@ -203,11 +205,10 @@ def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, items (item_ids, ascending), similarity (the greatest) and contaminated, a row for each row of ``docs``."""
-    found = with_hits(docs.select("doc_id", "text"), benchmark).drop("text")
-    return found.withColumn("contaminated", F.size("items") > 0)
+    found = with_hits(docs.select("doc_id", "text"), benchmark)
+    return found.select("doc_id", F.col(ITEMS).alias("items"), F.col(SIMILARITY).alias("similarity"), (F.size(ITEMS) > 0).alias("contaminated"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit, with their columns."""
-    plain = docs.select(F.struct("*").alias("row"), "text")
-    return with_hits(plain, benchmark).where(F.size("items") == 0).select("row.*")
+    return with_hits(docs, benchmark).where(F.size(ITEMS) == 0).drop(ITEMS, SIMILARITY)
