@@ -152,6 +152,27 @@ def test_contamination(spark):
         assert found[3 * i] == [i] and found[3 * i + 1] == [i] and found[3 * i + 2] == []
 
 
+def test_contamination_of_edited_copies(spark):
+    """Every copy that reaches 0.8 in some item-sized window is found, whatever its edits."""
+    r = random.Random(8)
+    items = [prose(2000 + i, r.randint(15, 90)) for i in range(60)]
+    texts, want = [], []
+    for n in range(1500):
+        i = n % len(items)
+        w = items[i].split()
+        for _ in range(r.randint(1, 1 + len(w) // 20)):
+            at, kind = r.randrange(len(w)), r.randrange(3)
+            w[at : at + (kind != 0)] = [f"edit{r.randrange(10**6)}"] * (kind != 1)
+        text = [*prose(9000 + n, r.randint(0, 60)).split(), *w, *prose(5000 + n, r.randint(0, 60)).split()]
+        size, sets = len(items[i].split()), shingles(items[i])
+        best = max(len(sets & shingles(" ".join(text[s : s + size]))) for s in range(max(1, len(text) - size + 1)))
+        texts.append(" ".join(text))
+        want.append([i] if 5 * best >= 4 * len(sets) else [])
+    got = op03_decontamination.contamination(frame(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert 300 < sum(map(bool, want)) < 1500
+    assert [list(x["items"]) for x in sorted(got, key=lambda x: x["doc_id"])] == want
+
+
 # ---- 4
 
 
