@@ -12,6 +12,10 @@ from paperloom.llm.op09_quality_rules import filter_quality
 from paperloom.llm.storage import stored
 
 
+#: Similarity of word shingles in percent from which on the pipeline takes documents for near-duplicates.
+NEAR = 80
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling draws towards those labelled as good."""
     return resampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -24,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near-duplicates."""
-    return deduplicated(docs)
+    return deduplicated(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

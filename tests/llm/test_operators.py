@@ -348,6 +348,33 @@ def test_pipeline(spark):
     assert all(r["copy"] <= 2 for r in final.collect())
 
 
+def test_pipeline_near_dedup(spark):
+    """The stage links from a similarity of 0.8 on."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    r = random.Random(4)
+    texts = []
+    for i in range(40):
+        base = prose(7000 + i, 120).split()
+        texts.append(" ".join(base))
+        for edits in (1, 2, 3, r.randint(4, 6)):
+            w = list(base)
+            for at in r.sample(range(len(w)), edits):
+                w[at] = f"edit{r.randrange(10**6)}"
+            texts.append(" ".join(w))
+    sets = [shingles(t) for t in texts]
+    first = list(range(len(texts)))
+    between = 0
+    for j in range(len(texts)):
+        for i in range(j):
+            share = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            between += 0.8 <= share < 0.85
+            if share >= 0.8:
+                a, b = sorted((first[i], first[j]))
+                first = [a if x == b else x for x in first]
+    got = pipeline.near_dedup(spark, frame(spark, texts), SF)
+    assert between > 20 and sorted(x["doc_id"] for x in got.collect()) == sorted(set(first))
+
+
 def test_queries_are_registered():
     import __spark_entry__
 
