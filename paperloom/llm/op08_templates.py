@@ -5,11 +5,12 @@ occurrence vector of a token, how often each page has it, is folded into sums th
 occurrences and a sum of hashes of (page, occurrences). Tokens with equal vectors are an equivalence class. A class is
 valid if it has several tokens on at least ``SUPPORT`` of the host's pages; valid classes nest by their tokens' paths into
 the host's template. What lies between template elements are slots. The main slot is the innermost element that occurs
-once a page, in a valid class, and holds most of the text outside links and boilerplate elements; text blocks that belong
-to the template itself (the same on nearly all pages of a host) are its constants, not content.
+once a page, in a valid class, and holds most of the text outside links and boilerplate elements; text blocks outside it
+that are the same on nearly all pages of a host are constants of the template, not content.
 
-The text of a page is that of its host's main slot, or, where the page lacks it, of its article or body, without menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, which their elements or names tell.
+The text of a page is that of its host's main slot, or, where the page lacks it, of its article or else of its body but for
+constants, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, which their
+elements or names tell. Nothing else of a slot or an article is left out, however many pages share it.
 
 Vectors are added up before the shuffle, so a host with a third of all pages is no burden; each host contributes one row
 to the join with the pages.
@@ -37,8 +38,8 @@ from .tokens import string_column
 SUPPORT = 0.5
 #: Share of the text that the main slot holds at least, averaged over pages.
 MAIN_SHARE = 0.7
-#: A text block is a constant of the template if so many of the host's pages have it, of at least so many pages.
-CONSTANT_SHARE, CONSTANT_PAGES = 0.95, 20
+#: A text block outside the main slot is a constant of the template if such a share of the host's pages has it.
+CONSTANT_SHARE = 0.95
 
 # HTML elements that don't begin a block, and those without content.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strong sub sup time tt u var wbr".split())
@@ -176,7 +177,7 @@ def templates(pages: DataFrame) -> DataFrame:
     classes = frequent.groupBy("host", "pages", "times", "vector").agg(F.count("*").alias("tokens"))
     valid = frequent.join(classes.where("tokens >= 2"), ["host", "pages", "times", "vector"])
     slot = (F.col("kind") == "e") & (F.col("times") == F.col("pages")) & (F.col("share") >= MAIN_SHARE)
-    constant = (F.col("kind") == "t") & (F.col("host_pages") >= CONSTANT_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("host_pages"))
+    constant = (F.col("kind") == "t") & (F.col("host_pages") > 1) & (F.col("pages") >= CONSTANT_SHARE * F.col("host_pages"))
     return valid.groupBy("host").agg(
         F.max_by(F.when(slot, F.col("token")), F.when(slot, F.struct("main", "depth", "token"))).alias("main"),
         F.collect_set(F.when(constant, F.col("token"))).alias("constants"),
@@ -189,10 +190,10 @@ def main_text(page: str | None, main: str | None, constants: list[str]) -> str:
     path = main.split("/") if main else []
     inside = [b for b in body if list(b.path[: len(path)]) == path] if path else []
     if not inside:
-        inside = [b for b in body if any(n.split(".")[0] in ("article", "main") for n in b.path)] or body
-    if constants:
-        inside = [b for b in inside if text_token("/".join(b.path), b.text) not in constants] or inside
-    return "\n\n".join(b.text for b in inside)
+        inside = [b for b in body if any(n.split(".")[0] in ("article", "main") for n in b.path)]
+    if not inside:
+        inside = [b for b in body if text_token("/".join(b.path), b.text) not in constants] if path else []
+    return "\n\n".join(b.text for b in inside or body)
 
 
 def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -298,6 +298,18 @@ def test_pages(spark):
     assert op08_templates.extract(pages).count() == len(rows) and op08_templates.extract(pages.limit(0)).count() == 0
 
 
+def test_pages_alike(spark):
+    """Blocks of an article stay, though all pages of the host share them, on a host of any size."""
+    page = "<html><body><div>Site name</div><article><h1>Shared heading</h1><p>" + prose(1, 40) + "</p><p>{}</p><p>" + prose(2, 40) + "</p></article></body></html>"
+    rows = [(1000 * n + i, f"http://h{n}.example/{i}", page.format(prose(10 + i, 30))) for n in (2, 19, 30) for i in range(n)]
+    rows += [(-1, "http://h30.example/x", "<html><body><div>Site name</div><section><p>Other layout</p></section></body></html>")]
+    got = {r["page_id"]: r["text"] for r in op08_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in (2, 19, 30):
+        for i in range(n):
+            assert got[1000 * n + i] == "\n\n".join(["Shared heading", prose(1, 40), prose(10 + i, 30), prose(2, 40)])
+    assert got[-1] == "Other layout"
+
+
 # ---- 9
 
 
