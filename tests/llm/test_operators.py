@@ -344,6 +344,23 @@ def test_licences(spark):
     assert got == {0: (["Apache"], 1), 1: (["MIT"], 1), 2: (["GPL"], 1), 3: (["CC-BY-NC"], 1), 4: ([], 0), 5: ([], 0), 6: (["CC-BY-NC", "MIT"], 2)}
 
 
+def test_licence_paragraphs(spark):
+    """Whole paragraphs, wrapped ones and notices within longer lines."""
+    grant = op10_licenses.PARAGRAPHS["MIT"][0]
+    gpl = op10_licenses.PARAGRAPHS["GPL"][0]
+    texts = [
+        grant,
+        gpl,
+        op10_licenses.PARAGRAPHS["Apache"][0],
+        op10_licenses.PARAGRAPHS["MPL"][0],
+        "Released under the MIT License. The river ran past the old mill and the children went there every summer.",
+        prose(1, 60) + "\n\n" + "\n".join(" ".join(gpl.split()[i : i + 9]) for i in range(0, len(gpl.split()), 9)) + "\n\n" + prose(2, 60),
+        "The river ran past the old mill. The public was free to use the source and a copy of the map was sent.",
+    ]
+    got = {r["doc_id"]: list(r["families"]) for r in op10_licenses.licences(frame(spark, texts)).collect()}
+    assert got == {0: ["MIT"], 1: ["GPL"], 2: ["Apache"], 3: ["MPL"], 4: ["MIT"], 5: ["GPL"], 6: []}
+
+
 # ---- the pipeline
 
 
