@@ -1,29 +1,34 @@
 """Language-model scores by online logistic mixing of hashed-context bit predictors.
 
-A text is its words in lower case (A-Z) and an end. A word of the vocabulary is a path in a Huffman tree; any other is an
-escape, then one of the rarer words that training had (by their counts) or else unseen, and an unseen word is spelled: its
-bytes are paths in a Huffman tree of bytes, up to a terminator. So a text is a sequence of bits, and
-each bit has three predictors: for word bits the node alone, the node after the word before, and after the two words
-before; for byte bits the node after one, three and five bytes. A predictor's probability comes from the counts of zeros
-and ones that its context had in training, in a hashed table of 2 ** ``TABLE_BITS`` places (the node alone: exactly). The
-stretched probabilities are mixed by weights that a gate selects by how often the contexts were seen. A document starts
-with weights that were learned beforehand and refines them as it goes: after each block of words by the gradient of the
-bits in it. The score is the log10 probability of the tokens as the base score tells them apart, with all unseen words
-as one event; bits_per_byte also has the bits that spell words outside the common ones, so it is the length of the text.
-
-Learning reads all documents whose crc32(doc_id as text) mod 7 is not 2: word counts by a grouped sum; context counts as
-dense blocks that are added up in a tree of groups of ``FAN_IN``, so no task gets more than that many. The first weights
-come from about ``TUNING`` of these documents at most, whose contexts are not counted. What goes to the tasks is bounded:
-``COMMON`` word counts, ``VOCABULARY`` words with their paths and the table (about 15 MB together); the counts of all
-other words are joined. The base score uses the exact counts of all words.
+A text is its words in lower case (A-Z) and an end. A word of the vocabulary (the ``VOCABULARY`` most common words of the
+training texts) is a path in a Huffman tree; any other takes the path of the rarer words, on which ``TRIE`` bits of its hash
+follow. So a text is a sequence of bits, and each bit has three predictors: the node alone, the node after the word before,
+and the node after the two words before. A predictor's probability comes from how often training texts took either branch at
+the node in that context. The stretched probabilities are mixed by weights that a gate selects by how often the two contexts
+were seen at the node. Every document starts with the same weights, a formula of the gate, and refines them after each
+``BLOCK`` words by the gradient of the bits in them, from its first word to its last.
+
+Contexts are counted exactly, all of them, and grow with the corpus: texts are coded in chunks of about ``CHUNK`` bytes; a
+chunk's contexts are hashed, its equal pairs of context and symbol are added up, and they are dealt out by the context's hash
+to as many parts as ``PART_ROWS`` asks for. A part adds up what all chunks sent, and answers each chunk with a byte for each
+pair and node: the branch's share and how often the node was seen. So only compact pairs are shuffled, never a row for each
+bit, and neither the driver nor a broadcast holds contexts. Contexts of hot words (more than one in ``HOT`` of all words, so a
+bounded set) are split by the first ``TOP`` bits of the symbol, whose own counts are pairs like any other; a chunk sends at
+most 2 ** ``TOP`` of these for a context, so no context fills a part.
+
+A rarer word's probability is that of its ``TRIE`` bits times its exact count's share of its hash's bucket. Words that training
+had not are one event, as in the base score, whose counts know one place for all of them (V + 1): ``score`` is over the
+events that the base tells apart, so the two compare. ``spelled_score`` and ``bits_per_byte`` also have the bits that spell
+unseen words: their bytes are paths in a Huffman tree of bytes, predicted after one, three and five bytes from the spelling of
+the rarer words of all training texts, and mixed alike.
 
 Defined cases: a null or empty text is an end alone; repeated rows score alike; a null doc_id counts as training text;
-without training text the base score is 0 for N = V = 0; an empty table gives an empty result; further columns are ignored.
+without training text the base score is 0 for N = V = 0; an empty table gives an empty result; further columns are ignored;
+a very long text is a chunk of its own, refined at the same pace; equal counts at the edge of the vocabulary stay out of it together.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,27 +37,51 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .features import hashed_share
-from .storage import stored
-from .tokens import LOWER, Words, mix, string_column, words
-
-VOCABULARY, COMMON = 1 << 17, 1 << 19
-TABLE_BITS = 21
-#: Places of the table for byte contexts, the lowest ones; the others are for word contexts.
-BYTE_PLACES = 1 << 19
-WORD_PLACES = (1 << TABLE_BITS) - BYTE_PLACES
-#: Places in a block of the table while it is added up, and blocks that one task adds.
-PART, FAN_IN = 1 << 14, 32
-#: The spelling of words that are this rare in training is learned too, though they are in the vocabulary.
-RARE = 4
-TUNING = 2000
-#: Words after which the weights are refined: ``EVEN_BLOCKS`` times as many, then each time the text has doubled.
-BLOCK, EVEN_BLOCKS = 64, 8
-#: Bytes of text whose bits are held at once.
-AT_ONCE = 1 << 18
-RATE = 0.02
-GATES, INPUTS = 32, 4
+from .storage import dropped, stored
+from .tokens import LOWER, mix, string_column, words
+
+VOCABULARY = 1 << 18
+#: Bits of a rarer word's hash that are coded one by one.
+TRIE = 16
+#: Bits that number a symbol: of the vocabulary, the end, and the rarer words' trie.
+SYMBOL_BITS = 19
+#: Bytes of text in a chunk; context pairs that a part gets, about.
+CHUNK, PART_ROWS = 1 << 22, 1 << 21
+#: Words with more than one in so many of all occurrences are hot; bits of the symbol that split their contexts.
+HOT, TOP = 4096, 8
+#: Bits of a context's hash beyond the number of training tokens: two contexts are taken for one with a chance of 2 ** -10.
+SPARE_BITS = 10
+#: Words after which the weights are refined, and by how much.
+BLOCK, RATE = 64, 0.02
+#: Places of the table for byte contexts, its blocks while it is added up, and how many of them one task adds.
+BYTE_PLACES, BYTE_PART, FAN_IN = 1 << 20, 1 << 14, 32
+GATES, INPUTS = 16, 3
 END_OF_WORD = 256
+#: A branch seen t of n times has the probability (t + PRIOR) / (n + 2 PRIOR).
+PRIOR = 0.4
+
+_SALTS = [np.uint64(x) for x in (0x9AE16A3B2F90404F, 0xC949C7DEFD4B2F3D, 0xB492B66FBE98F273, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5, 0x165667B19E3779F9)]
+_START = np.uint64(0x51AF7C3B8D2E6F01)
+
+# ---- states: a byte for the probability of a branch and for how often its node was seen (0: never)
+
+_LEVEL_OF = np.arange(256) >> 6
+_STRETCH_OF = np.where(_LEVEL_OF > 0, ((np.arange(256) & 63) - 31.5) * 0.4, 0.0).astype(np.float32)
+
+
+def state(seen: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    stretch = np.log((taken + np.float32(PRIOR)) / (seen - taken + np.float32(PRIOR)))
+    level = (seen >= 1).astype(np.uint8) + (seen >= 3) + (seen >= 10)
+    return np.where(level > 0, level * 64 + np.clip(np.rint(stretch / 0.4 + 31.5), 0, 63), 0).astype(np.uint8)
+
+
+def first_weights() -> np.ndarray:
+    """By gate (level after one word, then after two): the longer a context that was seen, and the oftener, the more it counts."""
+    out = np.zeros((4, 4, INPUTS), np.float32)
+    for one in range(4):
+        for two in range(4):
+            out[one, two] = ([1.0, 0.55, 0.35, 0.2][one] * [1.0, 0.5, 0.4, 0.3][two], [0.0, 0.5, 0.65, 0.8][one] * [1.0, 0.7, 0.6, 0.5][two], [0.0, 0.8, 0.9, 0.9][two])
+    return out.reshape(GATES, INPUTS)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -92,95 +121,135 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows_of(2, np.zeros(1, np.int64), np.array([rows]))
 
 
-# ---- the model
+# ---- the tree
+
+
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parents and sides of a Huffman tree's nodes: leaves first, then inner nodes, the root last."""
+    n = len(counts)
+    order = np.argsort(counts, kind="stable")
+    leaves, weights = order.tolist(), counts[order].tolist()
+    parent, side, made = [0] * (2 * n - 1), [False] * (2 * n - 1), []
+    i = j = 0
+    for node in range(n, 2 * n - 1):
+        total = 0.0
+        for taken in (False, True):
+            if i < n and (j >= len(made) or weights[i] <= made[j]):
+                child, total, i = leaves[i], total + weights[i], i + 1
+            else:
+                child, total, j = n + j, total + made[j], j + 1
+            parent[child], side[child] = node, taken
+        made.append(total)
+    return np.array(parent, np.int32), np.array(side, bool)
 
 
 @dataclass
 class Tree:
-    """Of each symbol the inner nodes on its path and the bits taken there."""
+    """Of each leaf its code (left-aligned), its length, and in a row of ``own`` the stretched shares of the branches on its path."""
 
-    first: np.ndarray
+    code: np.ndarray
+    size: np.ndarray
     nodes: np.ndarray
-    bits: np.ndarray
-    stretch: np.ndarray
-    shape: tuple[np.ndarray, np.ndarray]
-
-
-def huffman(counts: np.ndarray) -> Tree:
-    n = len(counts)
-    parent, side = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, bool)
-    weight = np.concatenate([counts.astype(np.float64), np.zeros(n - 1)])
-    heap = [(float(c), i) for i, c in enumerate(counts)]
-    heapq.heapify(heap)
-    for node in range(n, 2 * n - 1):
-        (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
-        parent[i] = parent[j] = node
-        side[j] = True
-        weight[node] = a + b
-        heapq.heappush(heap, (a + b, node))
-    ones = np.zeros(2 * n - 1)
-    np.add.at(ones, parent[:-1][side[:-1]], weight[:-1][side[:-1]])
-    p1 = (ones[n:] + 0.4) / (weight[n:] + 0.8)
-    return with_paths(parent.astype(np.int32), side, np.log(p1 / (1 - p1)).astype(np.float32))
-
-
-def with_paths(parent: np.ndarray, side: np.ndarray, stretch: np.ndarray) -> Tree:
-    """The tree whose nodes hang on ``parent`` at ``side``: leaves first, then inner nodes, the root last."""
-    n = len(stretch) + 1
-    root, at = 2 * n - 2, np.arange(n)
-    steps = []  # from the leaves up
-    while (alive := at != root).any():
-        steps.append((np.flatnonzero(alive), parent[at[alive]] - n, side[at[alive]]))
-        at = np.where(alive, parent[at], at)
-    size = np.zeros(n, np.int64)
-    for s, _, _ in steps:
-        size[s] += 1
-    first = np.concatenate([[0], np.cumsum(size)])
-    nodes, bits = np.zeros(first[-1], np.int32), np.zeros(first[-1], bool)
-    for depth, (s, p, b) in enumerate(steps):
-        place = first[s + 1] - 1 - depth
-        nodes[place], bits[place] = p, b
-    return Tree(first, nodes, bits, stretch, (parent, side))
+    own: np.ndarray
+
+
+def paths(parent: np.ndarray, side: np.ndarray, counts: np.ndarray, bits: int = 32) -> Tree:
+    """The tree of ``huffman``'s shape with the leaves' true ``counts``."""
+    n, root = len(counts), len(parent) - 1
+    total = np.concatenate([counts.astype(np.float64), np.zeros(max(0, len(parent) - n))])
+    depth_of = np.zeros(len(parent), np.int64)
+    for node in range(root - 1, n - 1, -1):
+        depth_of[node] = depth_of[parent[node]] + 1
+    if n > 1:
+        depth_of[:n] = depth_of[parent[:n]] + 1
+    for depth in range(int(depth_of.max(initial=0)), 0, -1):
+        here = np.flatnonzero(depth_of == depth)
+        np.add.at(total, parent[here], total[here])
+    size = depth_of[:n]
+    most = int(size.max(initial=0))
+    code, own, nodes = np.zeros(n, np.uint64), np.zeros((n, most), np.float32), np.zeros((n, most), np.int32)
+    at, alive = np.arange(n), np.arange(n)
+    for _ in range(most):
+        alive = alive[at[alive] != root]
+        child = at[alive]
+        up, place = parent[child], depth_of[child] - 1
+        code[alive] |= side[child].astype(np.uint64) << (np.uint64(bits - 1) - place.astype(np.uint64))
+        own[alive, place] = np.log((total[child] + PRIOR) / (total[up] - total[child] + PRIOR))
+        nodes[alive, place] = up - n
+        at[alive] = up
+    return Tree(code, size, nodes, own)
 
 
 @dataclass
 class Model:
-    known: np.ndarray
-    rare: np.ndarray
-    unseen: float
-    word_tree: Tree
-    byte_tree: Tree
-    stretch: np.ndarray | None = None
-    level: np.ndarray | None = None
-    weights: np.ndarray | None = None
+    """Symbols: the vocabulary by hash, the end, then the buckets of rarer words; ``rank`` is their order by code."""
 
-
-def packed(model: Model) -> dict:
+    known: np.ndarray
+    counts: np.ndarray
+    buckets: np.ndarray
+    tree: Tree
+    rank: np.ndarray
+    code_by_rank: np.ndarray
+    size_by_rank: np.ndarray
+    #: By symbol: the rank that stands for all symbols with the same first ``TOP`` bits, and whether it is a hot word.
+    top: np.ndarray
+    hot: np.ndarray
+    #: Bits of the path to the rarer words' trie.
+    stem: int
+    context_bits: int
+    parts: int
+    letters: Tree
+    letter_bits: np.ndarray
+
+
+def packed(known: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: int, n_tokens: int, letter_counts: np.ndarray) -> dict:
     """The model as plain arrays, small ones: broadcast values are unpickled where this package may not be installed."""
-    trees = [(*t.shape, t.stretch) for t in (model.word_tree, model.byte_tree)]
-    table = None if model.stretch is None else model.stretch.astype(np.float16)
-    return {"parts": (model.known, model.rare, model.unseen, *trees, table, model.level, model.weights)}
+    weights = np.concatenate([counts, [max(1, n_docs), max(1.0, buckets.sum())]]).astype(np.float64)
+    # Weights from a millionth of all on, so that no path is longer than the bits of a code.
+    shape = huffman(np.maximum(weights, weights.sum() / (1 << 20)))
+    return {"parts": (known, counts, buckets, n_docs, n_tokens, max(1, -(-2 * n_tokens // PART_ROWS)), *shape, letter_counts)}
 
 
 def unpacked(held: dict) -> Model:
     """The model of a broadcast value, which keeps it for the worker's next task."""
     if "model" not in held:
-        known, rare, unseen, word_tree, byte_tree, table, *rest = held["parts"]
-        stretch = None if table is None else table.astype(np.float32)
-        held["model"] = Model(known, rare, unseen, with_paths(*word_tree), with_paths(*byte_tree), stretch, *rest)
+        held["model"] = built(*held["parts"])
     return held["model"]
 
 
-def expand(first: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For symbols in turn: the place in the tree's arrays of each bit, and the index of the symbol it belongs to."""
-    n = first[symbol + 1] - first[symbol]
-    which = np.repeat(np.arange(len(symbol)), n)
-    return np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[symbol], n), which
-
-
-def reduced(h: np.ndarray, places: int) -> np.ndarray:
-    """Hashes as numbers below ``places``."""
-    return (((h >> np.uint64(32)) * np.uint64(places)) >> np.uint64(32)).astype(np.int64)
+def built(known: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: int, n_tokens: int, parts: int, parent: np.ndarray, side: np.ndarray, letter_counts: np.ndarray) -> Model:
+    k, n = len(known), 1 << TRIE
+    trunk = paths(parent, side, np.concatenate([counts, [max(1, n_docs), max(1.0, buckets.sum())]]))
+    # The rarer words' leaf grows into a complete tree over the buckets of their hashes.
+    stem = int(trunk.size[k + 1])
+    level, shares = buckets.astype(np.float64), []
+    for _ in range(TRIE):
+        above = level.reshape(-1, 2).sum(axis=1)
+        shares.append(np.log((level + PRIOR) / (np.repeat(above, 2) - level + PRIOR)))
+        level = above
+    own = np.zeros((k + 1 + n, max(trunk.own.shape[1], stem + TRIE)), np.float32)
+    own[: k + 1, : trunk.own.shape[1]] = trunk.own[: k + 1]
+    own[k + 1 :, :stem] = trunk.own[k + 1, :stem]
+    for i, share in enumerate(reversed(shares)):
+        own[k + 1 :, stem + i] = np.repeat(share, n >> (i + 1))
+    code = np.concatenate([trunk.code[: k + 1], trunk.code[k + 1] | np.arange(n, dtype=np.uint64) << np.uint64(32 - stem - TRIE)])
+    size = np.concatenate([trunk.size[: k + 1], np.full(n, stem + TRIE)]).astype(np.int32)
+    order = np.argsort(code, kind="stable")
+    rank = np.empty(len(code), np.uint64)
+    rank[order] = np.arange(len(code), dtype=np.uint64)
+    by_rank = code[order]
+    heads = by_rank >> np.uint64(32 - TOP)
+    top = np.searchsorted(heads, heads).astype(np.uint64)[rank.astype(np.int64)]
+    hot = np.concatenate([counts * HOT > max(1, n_tokens), np.zeros(1 + n, bool)])
+    bits = min(64 - SYMBOL_BITS, max(32, int(n_tokens).bit_length() + SPARE_BITS))
+    letters = paths(*huffman(letter_counts), letter_counts)
+    letter_bits = (letters.code[:, None] >> (np.uint64(31) - np.arange(letters.own.shape[1], dtype=np.uint64))) & np.uint64(1)
+    return Model(known, counts, buckets, Tree(code, size, trunk.nodes, own), rank, by_rank, size[order], top, hot, stem, bits, parts, letters, letter_bits.astype(bool))
+
+
+def reduced(h: np.ndarray, places: int, bits: int = 64) -> np.ndarray:
+    """Hashes of so many bits as numbers below ``places``, in the same order."""
+    return (((h >> np.uint64(bits - 32)) * np.uint64(places)) >> np.uint64(32)).astype(np.int64)
 
 
 def before(h: np.ndarray, back: int) -> np.ndarray:
@@ -189,282 +258,422 @@ def before(h: np.ndarray, back: int) -> np.ndarray:
     return out
 
 
+def expand(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For things of these sizes in turn: the thing and the place in it of each of their parts."""
+    which = np.repeat(np.arange(len(size)), size)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+
+
+# ---- spelling
+
+
+def spelled_bits(model: Model, letters: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the bits of ``letters`` (at a place of their word): the letter's index, the bit, and its places in the byte table."""
+    coded = (letters + 1).astype(np.uint64)
+    last = [np.where(place >= j, before(coded, j), 0).astype(np.uint64) for j in range(1, 6)]
+    after = [last[0], last[0] | last[1] << np.uint64(9) | last[2] << np.uint64(18)]
+    after.append(after[1] | last[3] << np.uint64(27) | last[4] << np.uint64(36))
+    which, depth = expand(model.letters.size[letters])
+    node = model.letters.nodes[letters[which], depth].astype(np.uint64)
+    return which, model.letter_bits[letters[which], depth], [reduced(mix(mix(a ^ salt)[which] + node * _SALTS[4]), BYTE_PLACES) for a, salt in zip(after, _SALTS[3:6], strict=True)]
+
+
+def letters_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of words in lower case, each word with ``END_OF_WORD`` at its end; the word and the place in it of each."""
+    size = end - start
+    word, place = expand(size + 1)
+    letters = np.full(len(word), END_OF_WORD, np.int64)
+    inner = place < size[word]
+    letters[inner] = LOWER[data[(start[word] + place)[inner]]]
+    return letters, word, place
+
+
+def added(rows: pa.Table) -> np.ndarray:
+    total = np.zeros(2 * BYTE_PART, np.int64)
+    for x in rows.column("counts"):
+        total += np.frombuffer(pa.decompress(x.as_py(), BYTE_PART * 8, "zstd", asbytes=True), np.int32)
+    return np.minimum(total, 2**31 - 1).astype(np.int32)
+
+
+def add_parts(key: tuple, rows: pa.Table) -> pa.Table:
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int32()), "counts": pa.array([pa.compress(added(rows).tobytes(), "zstd", asbytes=True)], pa.binary())})
+
+
+def byte_states(blocks: DataFrame) -> np.ndarray:
+    """The states of branch one by place of the byte table, from tasks' ``blocks`` (part, task, counts): at most ``FAN_IN`` are
+    added by one task, and the driver gets the finished table alone, whose size is fixed."""
+    made = []
+    tasks = (blocks.agg(F.max("task")).first()[0] or 0) + 1
+    while tasks > 1:
+        blocks = blocks.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
+        made.append(stored(blocks.groupBy("part", "task").applyInArrow(add_parts, "part int, task int, counts binary")))
+        blocks, tasks = made[-1], (tasks - 1) // FAN_IN + 1
+    table = np.zeros((BYTE_PLACES, 2), np.int32)
+    for r in blocks.select("part", "counts").toLocalIterator():
+        table[r["part"] * BYTE_PART : (r["part"] + 1) * BYTE_PART] = np.frombuffer(pa.decompress(bytes(r["counts"]), BYTE_PART * 8, "zstd", asbytes=True), np.int32).reshape(-1, 2)
+    dropped(*made)
+    return state(table.sum(axis=1).astype(np.float32), table[:, 1].astype(np.float32))
+
+
+# ---- chunks and their contexts
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Numbers by significance of their bytes, compressed."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), "zstd", asbytes=True)
+
+
+def from_planes(data: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(data, n * size, "zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(flat.reshape(size, n).T).view(kind).reshape(n)
+
+
+def chunk_schema(doc_id: pa.DataType) -> pa.Schema:
+    return pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("doc_id", pa.list_(doc_id)), ("held", pa.list_(pa.bool_())), ("n_words", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())), ("symbols", pa.binary()), ("rarer", pa.binary()), ("n_rarer", pa.int64()), ("spelled", pa.binary()), ("n_spelled", pa.int64())])
+
+
+def encode(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks: their rows' doc_id, whether held out, words and bytes; symbols of the words; hashes of the rarer ones in turn, and
+    of those in held-out rows the spelling, each followed by a space. At the end the task's blocks (part, counts) of the byte
+    table, for which each chunk tells each of its rarer training words once."""
+    table, schema = np.zeros(2 * BYTE_PLACES, np.int32), None
+    for batch in batches:
+        ids, held = string_column(batch, "doc_id"), string_column(batch, "held").to_numpy(zero_copy_only=False).astype(bool)
+        schema = schema or chunk_schema(ids.type)
+        for w in words(string_column(batch, "text"), CHUNK):
+            at = np.minimum(np.searchsorted(model.known, w.hash), max(0, len(model.known) - 1))
+            rarer = model.known[at] != w.hash if len(model.known) else np.ones(len(w.hash), bool)
+            symbol = np.where(rarer, len(model.known) + 1 + (w.hash >> np.uint64(64 - TRIE)).astype(np.int64), at).astype(np.uint32)
+            mine, n_words = held[w.rows], np.diff(w.first)
+            outside = np.repeat(mine, n_words)
+            spelled = np.flatnonzero(rarer & outside)
+            letters = b"".join(w.data[a:b].tobytes() + b" " for a, b in zip(w.start[spelled].tolist(), w.end[spelled].tolist(), strict=True))
+            taught = np.flatnonzero(rarer & ~outside)
+            taught = taught[np.unique(w.hash[taught], return_index=True)[1]]
+            for part in np.array_split(taught, len(taught) // 10_000 + 1):
+                if len(part):
+                    seq, _, place = letters_of(w.data, w.start[part], w.end[part])
+                    _, bit, places = spelled_bits(model, seq, place)
+                    for p in places:
+                        table += np.bincount(2 * p + bit, minlength=len(table)).astype(np.int32) if len(p) > 1 << 18 else 0
+                        if len(p) <= 1 << 18:
+                            np.add.at(table, 2 * p + bit, np.int32(1))
+            n_bytes = np.bincount(w.row_of(), w.end - w.start, minlength=w.n_rows).astype(np.int64) + n_words
+            row = [-1, None, ids.slice(w.rows.start, w.n_rows).to_pylist(), mine.tolist(), n_words.tolist(), n_bytes.tolist(), planes(symbol), planes(w.hash[rarer]), int(rarer.sum()), pa.compress(letters, "zstd", asbytes=True), len(letters)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
+    parts = table.reshape(-1, 2 * BYTE_PART)
+    used = np.flatnonzero(parts.any(axis=1))
+    if schema is not None and len(used):
+        first = [pa.array(used.astype(np.int32)), pa.array([pa.compress(parts[i].tobytes(), "zstd", asbytes=True) for i in used], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*first, *(pa.nulls(len(used), f.type) for f in list(schema)[2:])], schema=schema)
+
+
 @dataclass
-class Bits:
-    """Bits of the rows of a chunk: where each stands (row, word), its value, its inputs' places; -1 - node: exact node."""
+class Chunk:
+    """The tokens of a chunk's rows, each row's words and its end, and the context pairs that they need, each once."""
 
+    n_words: np.ndarray
     row: np.ndarray
-    word: np.ndarray
-    bit: np.ndarray
-    places: list[np.ndarray]
-    is_byte: np.ndarray
+    place: np.ndarray
+    symbol: np.ndarray
+    rarer: np.ndarray
+    hashes: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+    #: By token, after one and two words: its pair, and the one that has the first bits.
+    one: np.ndarray
+    two: np.ndarray
+    one_top: np.ndarray
+    two_top: np.ndarray
+
+
+def read_chunk(model: Model, n_words: np.ndarray, held: np.ndarray, symbols: bytes, rarer: bytes, n_rarer: int) -> Chunk:
+    k = len(model.known)
+    row, place = expand(n_words + 1)
+    is_word = place < n_words[row]
+    symbol = np.full(len(row), k, np.int64)
+    symbol[is_word] = from_planes(symbols, int(n_words.sum()), np.uint32)
+    is_rarer = symbol > k
+    hashes = from_planes(rarer, n_rarer, np.uint64)
+    # A word as a context: by its symbol if it has one of its own; an end is what a row's first word follows.
+    word = mix(symbol.astype(np.uint64) + np.uint64(1))
+    word[is_rarer], word[~is_word] = hashes, _START
+    hot = model.hot[symbol] | ~is_word
+    one, two, one_hot, two_hot = before(word, 1), before(word, 2), before(hot, 1), before(hot, 2)
+    first = place == 0
+    one[first] = two[first] = _START
+    two[1:][first[:-1]] = _START
+    one_hot[first] = two_hot[first] = True
+    two_hot[1:][first[:-1]] = True
+    contexts = [mix(one ^ _SALTS[0]), mix(mix(two ^ _SALTS[1]) ^ one)]
+    rank, top = model.rank[symbol], model.top[symbol]
+    whole, tops, at_top = [], [], []
+    for context, is_hot in zip(contexts, (one_hot, one_hot & two_hot), strict=True):
+        at_top.append(np.flatnonzero(is_hot))
+        tops.append(pair(model, mix(context[is_hot] ^ _SALTS[2]), top[is_hot]))
+        whole.append(pair(model, np.where(is_hot, mix(context ^ (top + np.uint64(1)) * _SALTS[5]), context), rank))
+    pairs, at = np.unique(np.concatenate([*whole, *tops]), return_inverse=True)
+    n = len(row)
+    trains = ~held[row]
+    weight = np.concatenate([trains, trains, trains[at_top[0]], trains[at_top[1]]])
+    times = np.bincount(at, weight, minlength=len(pairs)).astype(np.uint32)
+    found = [at[:n], at[n : 2 * n], at[:n].copy(), at[n : 2 * n].copy()]
+    found[2][at_top[0]] = at[2 * n : 2 * n + len(at_top[0])]
+    found[3][at_top[1]] = at[2 * n + len(at_top[0]) :]
+    return Chunk(n_words, row, place, symbol, is_rarer, hashes, pairs, times, *found)
+
+
+def pair(model: Model, context: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return (context >> np.uint64(64 - model.context_bits)) << np.uint64(SYMBOL_BITS) | rank
+
+
+def part_edges(model: Model, h: np.ndarray, bits: int) -> np.ndarray:
+    """Where each part begins in ascending hashes of so many bits."""
+    return np.searchsorted(reduced(h, model.parts, bits), np.arange(model.parts + 1))
+
+
+def chunk_of(model: Model, r: dict) -> Chunk:
+    return read_chunk(model, np.array(r["n_words"], np.int64), np.array(r["held"], bool), r["symbols"], r["rarer"], r["n_rarer"])
+
+
+def rarer_words(c: Chunk, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the chunk's rarer words, how often training rows have them, and which each occurrence is."""
+    found, at = np.unique(c.hashes, return_inverse=True)
+    return found, np.bincount(at, ~held[c.row[c.rarer]], minlength=len(found)).astype(np.uint32), at
+
+
+def sends(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, chunk, pairs, times, n, words, word_times, n_words): what each part gets of each chunk."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            c, held = chunk_of(model, r), np.array(r["held"], bool)
+            found, times, _ = rarer_words(c, held)
+            of_pairs, of_words = part_edges(model, c.pairs >> np.uint64(SYMBOL_BITS), model.context_bits), part_edges(model, found, 64)
+            out = []
+            for part, (a, b, x, y) in enumerate(zip(of_pairs, of_pairs[1:], of_words, of_words[1:], strict=False)):
+                if a < b or x < y:
+                    out.append((part, r["chunk"], planes(np.diff(c.pairs[a:b], prepend=np.uint64(0))), planes(c.times[a:b]), int(b - a), planes(found[x:y]), planes(times[x:y]), int(y - x)))
+            yield pa.RecordBatch.from_pylist([dict(zip(_SENT.names, x, strict=True)) for x in out], schema=_SENT)
+
+
+_SENT = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("pairs", pa.binary()), ("times", pa.binary()), ("n", pa.int64()), ("words", pa.binary()), ("word_times", pa.binary()), ("n_words", pa.int64())])
+
+
+def merged(arrays: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values ascending, their sums of ``times``, and for all values in turn which it is."""
+    every = np.concatenate(arrays)
+    found, at = np.unique(every, return_inverse=True)
+    return found, np.bincount(at, np.concatenate(times), minlength=len(found)), at
+
+
+def node_states(model: Model, pairs: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """(pair, depth): the state of the branch that the pair's symbol takes at each node of its path, in its context."""
+    rank = (pairs & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)
+    context, code = pairs >> np.uint64(SYMBOL_BITS), model.code_by_rank[rank]
+    depths = model.tree.own.shape[1]
+    # Where a symbol is alone below a node, all that was seen took its branch.
+    out = np.repeat(state(total.astype(np.float32), total.astype(np.float32))[:, None], depths, axis=1)
+    head = np.ones(len(pairs), bool)
+    head[1:] = context[1:] != context[:-1]
+    alive = np.arange(len(pairs))
+    seen = None
+    for depth in range(depths + 1):
+        starts = np.flatnonzero(head)
+        which = np.cumsum(head) - 1
+        sums = np.add.reduceat(total[alive], starts)[which] if len(alive) else np.zeros(0)
+        if depth:
+            out[alive, depth - 1] = state(seen.astype(np.float32), sums.astype(np.float32))
+        several = (np.diff(np.append(starts, len(alive))) > 1)[which] if len(alive) else np.zeros(0, bool)
+        alive, head, seen = alive[several], head[several], sums[several]
+        if not len(alive) or depth == depths:
+            break
+        bits = code[alive] >> np.uint64(31 - depth)
+        head[1:] |= bits[1:] != bits[:-1]
+    return out
 
 
-_SALTS = [np.uint64(x) for x in (0x9AE16A3B2F90404F, 0xC949C7DEFD4B2F3D, 0xB492B66FBE98F273, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5, 0x165667B19E3779F9)]
+def answer(model: Model, rows: pa.Table) -> pa.Table:
+    """For each chunk that sent something: the states of its pairs and the counts of its words."""
+    rows = rows.to_pylist()
+    pairs, total, at = merged([np.cumsum(from_planes(r["pairs"], r["n"], np.uint64), dtype=np.uint64) for r in rows], [from_planes(r["times"], r["n"], np.uint32) for r in rows])
+    states = node_states(model, pairs, total)
+    _, counts, word_at = merged([from_planes(r["words"], r["n_words"], np.uint64) for r in rows], [from_planes(r["word_times"], r["n_words"], np.uint32) for r in rows])
+    out, a, x = [], 0, 0
+    for r in rows:
+        b, y = a + r["n"], x + r["n_words"]
+        mine = np.ascontiguousarray(states[at[a:b]].T)
+        out.append({"chunk": r["chunk"], "part": r["part"], "n": r["n"], "states": pa.compress(mine.tobytes(), "zstd", asbytes=True), "n_words": r["n_words"], "word_counts": planes(counts[word_at[x:y]].astype(np.int64))})
+        a, x = b, y
+    return pa.Table.from_pylist(out, schema=_ANSWER)
+
+
+_ANSWER = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("states", pa.binary()), ("n_words", pa.int64()), ("word_counts", pa.binary())])
+
+
+# ---- scores
+
+
+#: Rows that go through their texts side by side.
+ROWS_AT_ONCE = 128
+
+
+def refined(own: list[np.ndarray], row: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray], rows: int) -> np.ndarray:
+    """Nats that the bits of each row take, given the stretched probabilities of what they are; ``own`` weights learn from them."""
+    cell = row * GATES + gate
+    z = own[0][cell] * inputs[0]
+    for weight, x in zip(own[1:], inputs[1:], strict=True):
+        z += weight[cell] * x
+    e = np.exp(-np.clip(z, -12, 12))
+    error = e / (1 + e)
+    scale = RATE / np.sqrt(np.maximum(np.bincount(cell, minlength=rows * GATES), 1))
+    for weight, x in zip(own, inputs, strict=True):
+        weight += scale * np.bincount(cell, error * x, minlength=rows * GATES)
+    return np.bincount(row, np.log1p(e), minlength=rows)
+
+
+def start_weights(rows: int) -> list[np.ndarray]:
+    return [np.tile(first_weights()[:, i], rows) for i in range(INPUTS)]
+
+
+def coded(model: Model, c: Chunk, states: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Nats that each row's tokens take, of whose bits the first ``size`` count."""
+    rows, depths = len(c.n_words), model.tree.own.shape[1]
+    cost = np.zeros(rows)
+    by_length = np.argsort(c.n_words, kind="stable")
+    group, within = np.empty(rows, np.int64), np.empty(rows, np.int64)
+    group[by_length], within[by_length] = np.divmod(np.arange(rows), ROWS_AT_ONCE)
+    steps = int(c.place.max(initial=0)) // BLOCK + 1
+    step = group[c.row] * steps + c.place // BLOCK
+    order = np.argsort(step, kind="stable")
+    edges = np.flatnonzero(np.diff(step[order], prepend=-1, append=-1))
+    flat_own, flat_states = model.tree.own.ravel(), states.ravel()
+    own, now = [], -1
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        token = order[lo:hi]
+        if group[c.row[token[0]]] != now:
+            now, own = group[c.row[token[0]]], start_weights(ROWS_AT_ONCE)
+        which, depth = expand(size[token])
+        early = depth < TOP
+        found = [flat_states[np.where(early, (top[token] * depths)[which], (rest[token] * depths)[which]) + depth] for rest, top in ((c.one, c.one_top), (c.two, c.two_top))]
+        gate = (found[0] >> 6) * np.uint8(4) + (found[1] >> 6)
+        inputs = [flat_own[(c.symbol[token] * depths)[which] + depth], _STRETCH_OF[found[0]], _STRETCH_OF[found[1]]]
+        got = refined(own, within[c.row[token]][which], gate, inputs, ROWS_AT_ONCE)
+        rows_of = by_length[now * ROWS_AT_ONCE : (now + 1) * ROWS_AT_ONCE]
+        cost[rows_of] += got[: len(rows_of)]
+    return cost
+
+
+def spelled(model: Model, byte_table: np.ndarray, data: bytes, row: np.ndarray, place: np.ndarray, unseen: np.ndarray, rows: int) -> np.ndarray:
+    """Nats that spell the ``unseen`` ones of the words in ``data``, which stand in these rows at these places."""
+    text = np.frombuffer(data, np.uint8)
+    end = np.flatnonzero(text == 0x20)
+    start = np.concatenate([[0], end[:-1] + 1]) if len(end) else end
+    letters, word, at = letters_of(text, start[unseen], end[unseen])
+    cost, own = np.zeros(rows), start_weights(rows)
+    if not len(letters):
+        return cost
+    which, bit, places = spelled_bits(model, letters, at)
+    sign = np.where(bit, 1, -1).astype(np.float32)
+    found = [byte_table[p] for p in places]
+    gate = (found[1] >> 6) * np.uint8(4) + (found[2] >> 6)
+    inputs = [sign * _STRETCH_OF[f] for f in found]
+    row, step = row[unseen][word][which], (place[unseen] // BLOCK)[word][which]
+    order = np.argsort(step, kind="stable")
+    edges = np.flatnonzero(np.diff(step[order], prepend=-1, append=-1))
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        now = order[lo:hi]
+        cost += refined(own, row[now], gate[now], [x[now] for x in inputs], rows)
+    return cost
+
+
+def score_chunk(model: Model, byte_table: np.ndarray, unseen: float, answers: list[dict], r: dict) -> dict:
+    held = np.array(r["held"], bool)
+    c, k, rows = chunk_of(model, r), len(model.known), len(held)
+    answers = sorted(answers, key=lambda x: x["part"])
+    depths = model.tree.own.shape[1]
+    states = np.concatenate([np.zeros((0, depths), np.uint8), *[np.frombuffer(pa.decompress(x["states"], x["n"] * depths, "zstd", asbytes=True), np.uint8).reshape(depths, x["n"]).T for x in answers if x["n"]]])
+    of_word = np.concatenate([np.zeros(0, np.int64), *[from_planes(x["word_counts"], x["n_words"], np.int64) for x in answers]])
+    count = np.zeros(len(c.row), np.float64)
+    ends = c.symbol == k
+    vocabulary = ~c.rarer & ~ends
+    count[vocabulary] = model.counts[c.symbol[vocabulary]]
+    count[c.rarer] = of_word[rarer_words(c, held)[2]]
+    new = c.rarer & (count == 0)
+    size = model.tree.size[c.symbol]
+    size[new] = model.stem
+    nats = coded(model, c, np.ascontiguousarray(states), size)
+    # Beyond its path, a rarer word is its share of its bucket, and an unseen one a single event.
+    old = c.rarer & ~new
+    extra = np.zeros(len(c.row))
+    extra[old] = np.log(np.maximum(model.buckets[c.symbol[old] - k - 1], 1.0) / count[old]) - np.log1p(-min(unseen, 1 - 1e-12))
+    extra[new] = -np.log(unseen)
+    nats += np.bincount(c.row, extra, minlength=rows)
+    outside = c.rarer & held[c.row]
+    spelling = spelled(model, byte_table, pa.decompress(r["spelled"], r["n_spelled"], "zstd", asbytes=True) if r["n_spelled"] else b"", c.row[outside], c.place[outside], new[outside], rows)
+    words_only = ~ends
+    return {
+        "doc_id": r["doc_id"], "held_out": r["held"], "n_tokens": (c.n_words + 1).tolist(), "known": np.bincount(c.row, words_only & (count > 0), minlength=rows).astype(np.int64).tolist(),
+        "base": np.bincount(c.row, np.where(words_only, np.log10(count + 1), 0), minlength=rows).tolist(), "score": (nats / -np.log(10)).tolist(), "spelled_score": ((nats + spelling) / -np.log(10)).tolist(),
+        "bits_per_byte": ((nats + spelling) / np.log(2) / np.maximum(np.array(r["n_bytes"]), 1)).tolist(),
+    }
 
 
-def to_bits(w: Words, model: Model, training: bool = False, unspelled: np.ndarray | None = None) -> Bits:
-    n_words = np.diff(w.first)
-    # Tokens with the end of each row; hash 1 stands for an end, which is also what a row's first word follows.
-    ends = w.first[1:] + np.arange(w.n_rows)
-    total = len(w.hash) + w.n_rows
-    is_end = np.zeros(total, bool)
-    is_end[ends] = True
-    h = np.ones(total, np.uint64)
-    h[~is_end] = w.hash
-    row = np.repeat(np.arange(w.n_rows), n_words + 1)
-    symbol = np.searchsorted(model.known, h)
-    symbol[symbol == len(model.known)] = 0
-    escaped = (model.known[symbol] != h) & ~is_end if len(model.known) else ~is_end
-    symbol = np.where(is_end, len(model.known) + 1, np.where(escaped, len(model.known), symbol))
-    start_of_row = np.concatenate([[0], ends[:-1] + 1]) if w.n_rows else np.zeros(0, np.int64)
-    one, two = before(h, 1), before(h, 2)
-    if w.n_rows:
-        one[start_of_row] = two[start_of_row] = 1
-        second = start_of_row[n_words > 0] + 1
-        two[second] = 1
-    place, token = expand(model.word_tree.first, symbol)
-    node = model.word_tree.nodes[place]
-    context = [mix(one ^ _SALTS[0]), mix(mix(two ^ _SALTS[1]) ^ one)]
-    places = [-1 - node.astype(np.int64)] + [BYTE_PLACES + reduced(mix(c[token] + node.astype(np.uint64) * _SALTS[2]), WORD_PLACES) for c in context]
-    word_part = (row[token], np.arange(total)[token], model.word_tree.bits[place], places)
-
-    if training and len(model.known):
-        escaped = escaped | (model.rare[np.minimum(symbol, len(model.known) - 1)] & (symbol < len(model.known)))
-    spelled = escaped[~is_end]
-    spelled = np.flatnonzero(spelled if unspelled is None else spelled & ~unspelled)
-    size = w.end[spelled] - w.start[spelled]
-    letters = np.full((size + 1).sum(), END_OF_WORD, np.int64)
-    begin = np.cumsum(size + 1) - (size + 1)
-    of = np.repeat(np.arange(len(spelled)), size + 1)
-    inner = np.ones(len(letters), bool)
-    inner[begin + size] = False
-    letters[inner] = LOWER[w.data[(w.start[spelled][of] + np.arange(len(letters)) - begin[of])[inner]]]
-    pos = np.arange(len(letters)) - begin[of]
-    coded = (letters + 1).astype(np.uint64)
-    last = [np.where(pos >= j, before(coded, j), 0).astype(np.uint64) if len(coded) else coded for j in range(1, 6)]
-    seqs = [last[0], last[0] | last[1] << np.uint64(9) | last[2] << np.uint64(18)]
-    seqs.append(seqs[1] | last[3] << np.uint64(27) | last[4] << np.uint64(36))
-    place, letter = expand(model.byte_tree.first, letters)
-    node = model.byte_tree.nodes[place].astype(np.uint64)
-    byte_places = [reduced(mix(mix(s ^ salt)[letter] + node * _SALTS[4]), BYTE_PLACES) for s, salt in zip(seqs, _SALTS[3:6], strict=True)]
-    token_of_word = np.flatnonzero(~is_end)[spelled] if len(spelled) else np.zeros(0, np.int64)
-    byte_part = (row[token_of_word[of]][letter] if len(of) else np.zeros(0, np.int64), token_of_word[of][letter] if len(of) else np.zeros(0, np.int64), model.byte_tree.bits[place], byte_places)
-
-    joined = [np.concatenate([a, b]) for a, b in zip(word_part[:3], byte_part[:3], strict=True)]
-    every = [np.concatenate([a, b]) for a, b in zip(places, byte_places, strict=True)]
-    at = joined[1] - (start_of_row[joined[0]] if w.n_rows else 0)
-    is_byte = np.zeros(len(at), bool)
-    is_byte[len(word_part[0]) :] = True
-    return Bits(joined[0], at, joined[2], every, is_byte)
-
-
-def sums(row: np.ndarray, value: np.ndarray, n_rows: int) -> np.ndarray:
-    """Sums of ``value`` by row; floats even if there is none."""
-    return np.bincount(row, value, minlength=n_rows).astype(np.float64)
-
-
-def count_contexts(model: Model):
-    """For mapInArrow: the counts of zeros and ones of a task's rows, as blocks of the table."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, one = np.zeros(2 << TABLE_BITS, np.int32), np.int32(1)
-        for batch in batches:
-            for w in words(string_column(batch, "text"), AT_ONCE):
-                bits = to_bits(w, model, training=True)
-                for places in bits.places:
-                    real = places >= 0
-                    np.add.at(table, 2 * places[real] + bits.bit[real], one)
-        parts = table.reshape(-1, 2 * PART)
-        used = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([pa.compress(parts[i].tobytes(), "zstd", asbytes=True) for i in used], pa.binary())], ["part", "counts"])
-
-    return count
-
-
-def add_parts(rows: pa.Table) -> pa.Table:
-    total = np.zeros(2 * PART, np.int64)
-    for x in rows.column("counts"):
-        total += np.frombuffer(pa.decompress(x.as_py(), PART * 8, "zstd", asbytes=True), np.int32)
-    return pa.table({"part": rows.column("part").slice(0, 1), "counts": pa.array([pa.compress(np.minimum(total, 2**31 - 1).astype(np.int32).tobytes(), "zstd", asbytes=True)], pa.binary())})
-
-
-def context_table(texts: DataFrame, model: Model) -> np.ndarray:
-    """Counts (places, 2) over all ``texts``; the driver gets the finished table alone, whose size is fixed."""
-    broadcast = texts.sparkSession.sparkContext.broadcast(packed(model))
-    parts = texts.mapInArrow(lambda batches: count_contexts(unpacked(broadcast.value))(batches), "part int, counts binary")
-    parts = stored(parts.withColumn("task", F.spark_partition_id()))
-    tasks = (parts.agg(F.max("task")).first()[0] or 0) + 1
-    while tasks > FAN_IN:
-        parts = parts.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
-        parts = stored(parts.groupBy("part", "task").applyInArrow(lambda key, rows: add_parts(rows).append_column("task", pa.array([key[1].as_py()], pa.int32())), "part int, counts binary, task int"))
-        tasks = (tasks - 1) // FAN_IN + 1
-    table = np.zeros((1 << TABLE_BITS, 2), np.int32)
-    for r in parts.drop("task").groupBy("part").applyInArrow(add_parts, "part int, counts binary").toLocalIterator():
-        table[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(pa.decompress(bytes(r["counts"]), PART * 8, "zstd", asbytes=True), np.int32).reshape(-1, 2)
-    return table
-
-
-def code_lengths(w: Words, model: Model, weights: np.ndarray, shared: bool = False, unspelled: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word bits and byte bits that each row takes, and the weights afterwards: of each row, or with ``shared`` of all."""
-    bits = to_bits(w, model, unspelled=unspelled)
-    late = np.maximum(bits.word, EVEN_BLOCKS * BLOCK) / (EVEN_BLOCKS * BLOCK)
-    block = (np.minimum(bits.word // BLOCK, EVEN_BLOCKS) + np.log2(late).astype(np.int64)).astype(np.int16)
-    order = np.argsort(block, kind="stable")
-    block = block[order]
-    row, bit, is_byte = bits.row[order], bits.bit[order], bits.is_byte[order]
-    inputs = np.ones((len(order), INPUTS), np.float32)
-    levels = []
-    for i, places in enumerate(bits.places):
-        p = places[order]
-        exact = p < 0
-        inputs[:, i] = model.stretch[np.maximum(p, 0)]
-        if exact.any():
-            inputs[exact, i] = model.word_tree.stretch[-1 - p[exact]]
-        levels.append(np.where(exact, 0, model.level[np.maximum(p, 0)]))
-    inputs[:, INPUTS - 1] = 0.3
-    gate = is_byte * 16 + levels[1] * 4 + levels[2]
-    n_sets = 1 if shared else max(1, w.n_rows)
-    own = np.tile(weights, (n_sets, 1, 1)).reshape(n_sets * GATES, INPUTS)
-    which = gate if shared else row * GATES + gate
-    cost = np.zeros(2 * w.n_rows)
-    kind = 2 * row + is_byte
-    edges = np.flatnonzero(np.diff(block)) + 1
-    for lo, hi in zip([0, *edges], [*edges, len(order)], strict=True):
-        if lo == hi:
-            continue
-        x, at, y = inputs[lo:hi], which[lo:hi], bit[lo:hi]
-        p = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", x, own[at]), -11, 11)))
-        cost += np.bincount(kind[lo:hi], -np.log2(np.where(y, p, 1 - p)), minlength=2 * w.n_rows)
-        error = (y - p).astype(np.float32)
-        scale = RATE / np.sqrt(np.maximum(np.bincount(at, minlength=len(own)), 1))
-        for i in range(INPUTS):
-            own[:, i] += scale * np.bincount(at, error * x[:, i], minlength=len(own))
-    return cost[::2], cost[1::2], own.reshape(n_sets, GATES, INPUTS)
-
-
-def first_weights(model: Model, rows: list[str | None]) -> np.ndarray:
-    """Weights after going through the tuning texts, a few of them at a time."""
-    weights = np.zeros((GATES, INPUTS), np.float32)
-    weights[:, :3] = 0.35
-    for w in words(pa.array(rows, pa.string()), limit=1 << 16):
-        weights = code_lengths(w, model, weights, shared=True)[2][0]
-    return weights
-
-
-def train(docs: DataFrame) -> tuple[Model, DataFrame, np.ndarray, np.ndarray, int, int, int]:
-    """The model; counts of all words (value, n); the most common words and their counts; words, documents; V."""
-    train_docs = docs.where(~held_out(F.col("doc_id")))
-    counted = stored(train_docs.select("text").mapInArrow(count_words, "kind int, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")))
+def scores(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, spelled_score and bits_per_byte for each row of ``docs``."""
+    context = docs.sparkSession.sparkContext
+    counted = stored(docs.where(~held_out(F.col("doc_id"))).select("text").mapInArrow(count_words, "kind int, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")))
     n_docs = counted.where("kind = 2").agg(F.sum("n")).first()[0] or 0
-    byte_counts = np.ones(257)
+    letter_counts = np.ones(257)
     for r in counted.where("kind = 1").collect():
-        byte_counts[r["value"]] += r["n"]
+        letter_counts[r["value"]] += r["n"]
     every = counted.where("kind = 0").select("value", "n")
-    total, distinct = every.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
-
-    # How many words there are of each count: the greatest sets that fit the bounds.
-    least, held = {VOCABULARY: None, COMMON: None}, 0
+    n_words, distinct, once = every.agg(F.sum("n"), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
+    n_words = n_words or 0
+    # How many words there are of each count: the greatest set that fits.
+    least, held = None, 0
     for r in sorted(every.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r["n"]):
         held += r["words"]
-        for bound in least:
-            if held <= bound:
-                least[bound] = r["n"]
-    common = every.where(F.col("n") >= (least[COMMON] or 1 << 62)).toArrow()
-    values, counts = common["value"].to_numpy().view(np.uint64), np.minimum(common["n"].to_numpy(), 2**53).astype(np.float64)
-    order = np.argsort(values)
-    values, counts = values[order], counts[order]
-    in_vocabulary = counts >= max(2, least[VOCABULARY] or 1 << 62)
-    known, known_counts = values[in_vocabulary], counts[in_vocabulary]
+        if held <= VOCABULARY and r["n"] > 1:
+            least = r["n"]
+    common = every.where(F.col("n") >= (least or 1 << 62)).toArrow()
+    known, counts = common["value"].to_numpy().view(np.uint64), common["n"].to_numpy().astype(np.float64)
+    order = np.argsort(known)
+    known, counts = known[order], counts[order]
+    buckets = np.zeros(1 << TRIE)
+    bucket = F.shiftrightunsigned("value", 64 - TRIE).cast("int").alias("bucket")
+    summed = every.where(F.col("n") < (least or 1 << 62)).groupBy(bucket).agg(F.sum("n").alias("n")).toArrow()
+    buckets[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
+    dropped(counted)
     # Of as many words as training had, about as many would be new as it had words that came once.
-    once = max(1, every.where("n = 1").count())
-    escapes = total - int(known_counts.sum())
-    unseen = once / (escapes + once)
-    model = Model(known, known_counts <= RARE, unseen, huffman(np.concatenate([known_counts, [escapes + once, max(1, n_docs)]])), huffman(byte_counts))
-
-    tuning_share = min(0.2, TUNING / max(1, n_docs))
-    tuning = F.coalesce(hashed_share(F.col("doc_id"), 2) < tuning_share, F.lit(False))
-    table = context_table(train_docs.where(~tuning).select("text"), model).astype(np.float64)
-    n = table.sum(axis=1)
-    p1 = (table[:, 1] + 0.4) / (n + 0.8)
-    model.stretch = np.log(p1 / (1 - p1)).astype(np.float32)
-    model.level = np.digitize(n, [1, 3, 10]).astype(np.uint8)
-    model.weights = tuned(train_docs.where(tuning).select("text"), model)
-    return model, every, values, counts, total, n_docs, distinct + (n_docs > 0)
-
-
-def tuned(texts: DataFrame, model: Model) -> np.ndarray:
-    """The first weights, found in one task over the bounded tuning texts."""
-    broadcast = texts.sparkSession.sparkContext.broadcast(packed(model))
+    unseen = max(1, once) / (buckets.sum() + max(1, once))
+    n_all = n_words + n_docs
+    shared = context.broadcast(packed(known, counts, buckets, n_docs, n_all, letter_counts))
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [x for batch in batches for x in string_column(batch, "text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([first_weights(unpacked(broadcast.value), rows).tobytes()], pa.binary())], ["weights"])
+    texts = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
+    key = texts.schema["doc_id"].dataType.simpleString()
+    columns = f"part int, counts binary, doc_id array<{key}>, held array<boolean>, n_words array<bigint>, n_bytes array<bigint>, symbols binary, rarer binary, n_rarer bigint, spelled binary, n_spelled bigint"
+    made = stored(texts.mapInArrow(lambda batches: encode(unpacked(shared.value), batches), columns).withColumn("chunk", F.monotonically_increasing_id()).withColumn("task", F.spark_partition_id()))
+    table = context.broadcast({"states": byte_states(made.where("part >= 0").select("part", "task", "counts"))})
+    chunks = made.where("part < 0").select("chunk", "doc_id", "held", "n_words", "n_bytes", "symbols", "rarer", "n_rarer", "spelled", "n_spelled")
 
-    ordered = texts.select("text").repartition(1).sortWithinPartitions(F.md5("text"))
-    got = ordered.mapInArrow(fit, "weights binary").first()
-    return first_weights(model, []) if got is None else np.frombuffer(got[0], np.float32).reshape(GATES, INPUTS).copy()
+    sent = chunks.select("chunk", "held", "n_words", "symbols", "rarer", "n_rarer").mapInArrow(lambda batches: sends(unpacked(shared.value), batches), "part int, chunk bigint, pairs binary, times binary, n bigint, words binary, word_times binary, n_words bigint")
+    answers = sent.groupBy("part").applyInArrow(lambda rows: answer(unpacked(shared.value), rows), "chunk bigint, part int, n bigint, states binary, n_words bigint, word_counts binary")
 
+    def score(answers: pa.Table, chunk: pa.Table) -> pa.Table:
+        got = score_chunk(unpacked(shared.value), table.value["states"], unseen, answers.to_pylist(), chunk.to_pylist()[0])
+        return pa.table({"doc_id": pa.array(got.pop("doc_id"), chunk.schema.field("doc_id").type.value_type), **got})
 
-def scores(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte for each row of ``docs``."""
-    model, every, values, counts, n_words, n_docs, n_distinct = train(docs)
-    n_all = n_words + n_docs
-    # What a word of the common ones adds to the base and, outside the vocabulary, to the score after its escape.
-    escapes = max(1, n_words - int(counts[np.isin(values, model.known)].sum()))
-    seen_cost = np.log10(1 - model.unseen) - np.log10(escapes) if model.unseen < 1 else 0.0
-    own = np.where(np.isin(values, model.known), 0.0, np.log10(np.maximum(counts, 1)) + seen_cost)
-    shared = docs.sparkSession.sparkContext.broadcast({**packed(model), "common": (values, counts, own.astype(np.float32))})
-    norm = float(np.log10(n_all + n_distinct + 1.0))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unpacked(shared.value)
-        values, counts, own = shared.value["common"]
-        logs = np.log10(counts + 1.0)
-        for batch in batches:
-            at = 0
-            for w in words(string_column(batch, "text"), AT_ONCE):
-                row = w.row_of()
-                found = np.minimum(np.searchsorted(values, w.hash), max(0, len(values) - 1))
-                common = values[found] == w.hash if len(values) else np.zeros(len(w.hash), bool)
-                cost, spelling, _ = code_lengths(w, model, model.weights, unspelled=common)
-                known = np.bincount(row[common], minlength=w.n_rows)
-                base = sums(row[common], logs[found[common]] if len(logs) else logs, w.n_rows)
-                chosen = sums(row[common], own[found[common]] if len(logs) else own, w.n_rows)
-                rest = np.flatnonzero(~common)
-                order = rest[np.lexsort((w.hash[rest], row[rest]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (row[order][1:] != row[order][:-1]) | (w.hash[order][1:] != w.hash[order][:-1])
-                firsts = np.flatnonzero(new)
-                times = np.diff(np.append(firsts, len(order)))
-                offs = np.searchsorted(row[order][firsts], np.arange(w.n_rows + 1)).astype(np.int32)
-                rare = pa.ListArray.from_arrays(pa.array(offs), pa.StructArray.from_arrays([pa.array(w.hash[order][firsts].view(np.int64)), pa.array(times)], ["value", "times"]))
-                size = np.bincount(row, w.end - w.start, minlength=w.n_rows) + np.diff(w.first)
-                columns = [string_column(batch, "doc_id").slice(at, w.n_rows), pa.array(np.diff(w.first) + 1), pa.array(known), pa.array(base), pa.array(chosen - cost * np.log10(2)), pa.array(spelling), pa.array(size.astype(np.int64)), rare]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "known", "base", "coded", "spelling", "n_bytes", "rare"])
-                at += w.n_rows
-
-    texts = docs.select("doc_id", "text")
-    schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n_tokens long, known long, base double, coded double, spelling double, n_bytes long, rare array<struct<value: long, times: long>>"
-    found = stored(texts.mapInArrow(score, schema).withColumn("place", F.monotonically_increasing_id()))
-    asked = found.select("place", F.inline("rare"))
-    counted = every.where(F.col("n") < int(counts.min())) if len(counts) else every
-    by_place = asked.join(counted, "value", "left").groupBy("place").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times") * F.log10(F.col("n") + 1)).otherwise(0.0)).alias("more_base"),
-        F.sum(F.col("times") * F.when(F.col("n").isNotNull(), F.log10(F.greatest("n", F.lit(1))) + float(seen_cost)).otherwise(float(np.log10(model.unseen)))).alias("more_coded"),
-    )
-    joined = found.drop("rare").join(by_place, "place", "left")
-    end_known, end_base = int(n_docs > 0), float(np.log10(n_docs + 1.0))
-    score_of = F.col("coded") + F.coalesce("more_coded", F.lit(0.0))
-    return joined.select(
+    schema = f"doc_id {key}, held_out boolean, n_tokens long, known long, base double, score double, spelled_score double, bits_per_byte double"
+    found = answers.groupBy("chunk").cogroup(chunks.groupBy("chunk")).applyInArrow(score, schema)
+    return found.select(
         "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0)) + end_known).alias("n_known"),
+        (F.col("known") + int(n_docs > 0)).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) + end_base - F.col("n_tokens") * norm).alias("base_score"),
-        score_of.alias("score"),
-        ((score_of / -float(np.log10(2.0)) + F.col("spelling")) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+        (F.col("base") + float(np.log10(n_docs + 1.0)) - F.col("n_tokens") * float(np.log10(n_all + (distinct or 0) + (n_docs > 0) + 1.0))).alias("base_score"),
+        "score",
+        "spelled_score",
+        "bits_per_byte",
     )

@@ -32,6 +32,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        jvm = spark.sparkContext._jvm
+        for folder in folders:
+            if "/table-" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows of two or three numbers up to which a side is broadcast (about 16 bytes each, so 8 MB); beyond it, joins shuffle.
 BROADCAST_ROWS = 500_000
 

@@ -130,8 +130,90 @@ def test_lm_scores(spark):
 def test_huffman_codes_are_complete():
     import numpy as np
 
-    tree = op02_mixing_lm.huffman(np.array([5.0, 1, 1, 7, 3]))
-    assert math.isclose(sum(2.0 ** -(b - a) for a, b in zip(tree.first, tree.first[1:], strict=False)), 1.0)
+    counts = np.array([5.0, 1, 1, 7, 3])
+    tree = op02_mixing_lm.paths(*op02_mixing_lm.huffman(counts), counts)
+    assert math.isclose(sum(2.0**-n for n in tree.size), 1.0)
+    codes = [f"{int(c):032b}"[:n] for c, n in zip(tree.code, tree.size, strict=True)]
+    assert all(i == j or not a.startswith(b) for i, a in enumerate(codes) for j, b in enumerate(codes))
+
+
+def brute_scores(rows):
+    """The model's score from dictionaries of contexts, a bit at a time."""
+    import numpy as np
+
+    m = op02_mixing_lm
+    tokens = {i: words((t or "").translate(LOWER)) for i, t in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    counts = Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
+    known = {w for w, n in counts.items() if n > 1}  # fewer than VOCABULARY
+    from paperloom.llm.tokens import words as arrow_words
+    import pyarrow as pa
+
+    every = sorted({w for ws in tokens.values() for w in ws})
+    hashed = dict(zip(every, next(arrow_words(pa.array([" ".join(every)]))).hash.tolist(), strict=True))
+    order = sorted(known, key=hashed.get)
+    docs = sum(not h for h in held.values())
+    buckets = np.zeros(1 << m.TRIE)
+    for w, n in counts.items():
+        if w not in known:
+            buckets[hashed[w] >> (64 - m.TRIE)] += n
+    total = sum(counts.values()) + docs
+    model = m.built(*m.packed(np.array([hashed[w] for w in order], np.uint64), np.array([float(counts[w]) for w in order]), buckets, docs, total, np.ones(257))["parts"])
+    place = {w: i for i, w in enumerate(order)}
+
+    def path(w):
+        symbol = len(order) if w is None else place.get(w, len(order) + 1 + (hashed[w] >> (64 - m.TRIE)) if w not in place else 0)
+        return symbol, f"{int(model.tree.code[symbol]):032b}"[: int(model.tree.size[symbol])]
+
+    seen = Counter()
+    for i, ws in tokens.items():
+        for at, w in enumerate([*ws, None]):
+            before = [None, None, *ws][at : at + 2]
+            for context in ((before[1],), tuple(before)):
+                code = path(w)[1]
+                seen.update((context, code[:d]) for d in range(len(code) + 1)) if not held[i] else None
+    once = sum(n == 1 for n in counts.values())
+    unseen = once / (buckets.sum() + once)
+    out = {}
+    for i, ws in tokens.items():
+        weights, nats, gradient, cells = m.first_weights().astype(float), 0.0, np.zeros((m.GATES, m.INPUTS)), Counter()
+        for at, w in enumerate([*ws, None]):
+            if at and at % m.BLOCK == 0:
+                for g, n in cells.items():
+                    weights[g] += m.RATE / math.sqrt(n) * gradient[g]
+                gradient, cells = np.zeros((m.GATES, m.INPUTS)), Counter()
+            symbol, code = path(w)
+            new = w is not None and not counts[w]
+            before = [None, None, *ws][at : at + 2]
+            for d in range(model.stem if new else len(code)):
+                states = [int(m.state(np.array([seen[c, code[:d]]], np.float32), np.array([seen[c, code[: d + 1]]], np.float32))[0]) for c in ((before[1],), tuple(before))]
+                gate = states[0] // 64 * 4 + states[1] // 64
+                x = np.array([model.tree.own[symbol, d], *(m._STRETCH_OF[s] for s in states)], float)
+                e = math.exp(-float(weights[gate] @ x))
+                nats += math.log1p(e)
+                gradient[gate] += e / (1 + e) * x
+                cells[gate] += 1
+            if new:
+                nats -= math.log(unseen)
+            elif w is not None and w not in known:
+                nats -= math.log((1 - unseen) * counts[w] / buckets[hashed[w] >> (64 - m.TRIE)])
+        out[i] = -nats / math.log(10)
+    return out
+
+
+def test_lm_against_brute_force(spark, monkeypatch):
+    """Chunks, parts, hashed contexts and split contexts of hot words give what dictionaries give."""
+    monkeypatch.setattr(op02_mixing_lm, "PART_ROWS", 4000)
+    r = random.Random(11)
+    vocabulary = prose(70, 60).split()
+    texts = [" ".join(r.choice(vocabulary[: r.randint(3, 60)]) for _ in range(r.randint(0, 200))) + " " + prose(300 + i, r.randint(0, 8)) for i in range(60)]
+    texts += [texts[3], texts[4], None, "", " ".join(vocabulary * 12)]
+    want = brute_scores(list(enumerate(texts)))
+    got = op02_mixing_lm.scores(frame(spark, texts)).collect()
+    assert len(got) == len(texts)
+    for x in got:
+        assert math.isclose(x["score"], want[x["doc_id"]], rel_tol=2e-3, abs_tol=0.05), x
+        assert x["spelled_score"] <= x["score"] and x["bits_per_byte"] >= 0
 
 
 # ---- 3
