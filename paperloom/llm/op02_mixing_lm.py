@@ -12,9 +12,9 @@ Contexts are counted exactly, all of them, and grow with the corpus: texts are c
 chunk's contexts are hashed, its equal pairs of context and symbol are added up, and they are dealt out by the context's hash
 to as many parts as ``PART_ROWS`` asks for. A part adds up what all chunks sent, and answers each chunk with a byte for each
 pair and node: the branch's share and how often the node was seen. So only compact pairs are shuffled, never a row for each
-bit, and neither the driver nor a broadcast holds contexts. Contexts of hot words (more than one in ``HOT`` of all words, so a
-bounded set) are split by the first ``TOP`` bits of the symbol, whose own counts are pairs like any other; a chunk sends at
-most 2 ** ``TOP`` of these for a context, so no context fills a part.
+bit, and neither the driver nor a broadcast holds contexts. Contexts of hot words, which are so
+common that one may take a good share of a part, are split by the first ``TOP`` bits of the symbol, whose own counts are pairs
+like any other; a chunk sends at most 2 ** ``TOP`` of these for a context.
 
 A rarer word's probability is that of its ``TRIE`` bits times its exact count's share of its hash's bucket. Words that training
 had not are one event, as in the base score, whose counts know one place for all of them (V + 1): ``score`` is over the
@@ -30,27 +30,32 @@ a very long text is a chunk of its own, refined at the same pace; equal counts a
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import dropped, stored
-from .tokens import LOWER, mix, string_column, words
+from .tokens import LOWER, Words, mix, string_column, words
 
 VOCABULARY = 1 << 18
 #: Bits of a rarer word's hash that are coded one by one.
 TRIE = 16
+#: Bits of a rarer word's hash that are not kept (the base's counts of words use all).
+RARER_SHIFT = 12
 #: Bits that number a symbol: of the vocabulary, the end, and the rarer words' trie.
 SYMBOL_BITS = 19
 #: Bytes of text in a chunk; context pairs that a part gets, about.
-CHUNK, PART_ROWS = 1 << 22, 1 << 21
-#: Words with more than one in so many of all occurrences are hot; bits of the symbol that split their contexts.
-HOT, TOP = 4096, 8
-#: Bits of a context's hash beyond the number of training tokens: two contexts are taken for one with a chance of 2 ** -10.
-SPARE_BITS = 10
+CHUNK, PART_ROWS = 3 << 20, 1 << 20
+#: A word is hot if its contexts may fill a part by one in so many; bits of the symbol that split its contexts.
+HOT, TOP = 4, 8
+#: Bits of a context's hash beyond the number of training tokens: a context is taken for another with a chance of 2 ** -5 at most.
+SPARE_BITS = 6
+#: Slices in which chunks are scored.
+SLICES = 6
 #: Words after which the weights are refined, and by how much.
 BLOCK, RATE = 64, 0.02
 #: Places of the table for byte contexts, its blocks while it is added up, and how many of them one task adds.
@@ -66,13 +71,15 @@ _START = np.uint64(0x51AF7C3B8D2E6F01)
 # ---- states: a byte for the probability of a branch and for how often its node was seen (0: never)
 
 _LEVEL_OF = np.arange(256) >> 6
-_STRETCH_OF = np.where(_LEVEL_OF > 0, ((np.arange(256) & 63) - 31.5) * 0.4, 0.0).astype(np.float32)
+#: Stretched probabilities are told in steps of so much.
+_STEP = 0.75
+_STRETCH_OF = np.where(_LEVEL_OF > 0, ((np.arange(256) & 63) - 31.5) * _STEP, 0.0).astype(np.float32)
 
 
 def state(seen: np.ndarray, taken: np.ndarray) -> np.ndarray:
     stretch = np.log((taken + np.float32(PRIOR)) / (seen - taken + np.float32(PRIOR)))
     level = (seen >= 1).astype(np.uint8) + (seen >= 3) + (seen >= 10)
-    return np.where(level > 0, level * 64 + np.clip(np.rint(stretch / 0.4 + 31.5), 0, 63), 0).astype(np.uint8)
+    return np.where(level > 0, level * 64 + np.clip(np.rint(stretch / _STEP + 31.5), 0, 63), 0).astype(np.uint8)
 
 
 def first_weights() -> np.ndarray:
@@ -153,7 +160,7 @@ class Tree:
     own: np.ndarray
 
 
-def paths(parent: np.ndarray, side: np.ndarray, counts: np.ndarray, bits: int = 32) -> Tree:
+def paths(parent: np.ndarray, side: np.ndarray, counts: np.ndarray, with_nodes: bool = True) -> Tree:
     """The tree of ``huffman``'s shape with the leaves' true ``counts``."""
     n, root = len(counts), len(parent) - 1
     total = np.concatenate([counts.astype(np.float64), np.zeros(max(0, len(parent) - n))])
@@ -167,30 +174,33 @@ def paths(parent: np.ndarray, side: np.ndarray, counts: np.ndarray, bits: int =
         np.add.at(total, parent[here], total[here])
     size = depth_of[:n]
     most = int(size.max(initial=0))
-    code, own, nodes = np.zeros(n, np.uint64), np.zeros((n, most), np.float32), np.zeros((n, most), np.int32)
+    code, own, nodes = np.zeros(n, np.uint64), np.zeros((n, most), np.float32), np.zeros((n, most if with_nodes else 0), np.int32)
     at, alive = np.arange(n), np.arange(n)
     for _ in range(most):
         alive = alive[at[alive] != root]
         child = at[alive]
         up, place = parent[child], depth_of[child] - 1
-        code[alive] |= side[child].astype(np.uint64) << (np.uint64(bits - 1) - place.astype(np.uint64))
+        code[alive] |= side[child].astype(np.uint64) << (np.uint64(31) - place.astype(np.uint64))
         own[alive, place] = np.log((total[child] + PRIOR) / (total[up] - total[child] + PRIOR))
-        nodes[alive, place] = up - n
+        if with_nodes:
+            nodes[alive, place] = up - n
         at[alive] = up
     return Tree(code, size, nodes, own)
 
 
 @dataclass
 class Model:
-    """Symbols: the vocabulary by hash, the end, then the buckets of rarer words; ``rank`` is their order by code."""
+    """Symbols: the vocabulary by falling count, the end, then the buckets of rarer words; ``rank`` is their order by code."""
 
+    #: The vocabulary's hashes in order, and the symbol of each.
     known: np.ndarray
+    symbol: np.ndarray
     counts: np.ndarray
     buckets: np.ndarray
     tree: Tree
     rank: np.ndarray
+    by_rank: np.ndarray
     code_by_rank: np.ndarray
-    size_by_rank: np.ndarray
     #: By symbol: the rank that stands for all symbols with the same first ``TOP`` bits, and whether it is a hot word.
     top: np.ndarray
     hot: np.ndarray
@@ -202,12 +212,12 @@ class Model:
     letter_bits: np.ndarray
 
 
-def packed(known: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: int, n_tokens: int, letter_counts: np.ndarray) -> dict:
+def packed(known: np.ndarray, symbol: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: int, n_tokens: int, letter_counts: np.ndarray) -> dict:
     """The model as plain arrays, small ones: broadcast values are unpickled where this package may not be installed."""
     weights = np.concatenate([counts, [max(1, n_docs), max(1.0, buckets.sum())]]).astype(np.float64)
     # Weights from a millionth of all on, so that no path is longer than the bits of a code.
     shape = huffman(np.maximum(weights, weights.sum() / (1 << 20)))
-    return {"parts": (known, counts, buckets, n_docs, n_tokens, max(1, -(-2 * n_tokens // PART_ROWS)), *shape, letter_counts)}
+    return {"parts": (known, symbol, counts, buckets, n_docs, n_tokens, max(1, -(-n_tokens // PART_ROWS)), *shape, letter_counts)}
 
 
 def unpacked(held: dict) -> Model:
@@ -217,9 +227,9 @@ def unpacked(held: dict) -> Model:
     return held["model"]
 
 
-def built(known: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: int, n_tokens: int, parts: int, parent: np.ndarray, side: np.ndarray, letter_counts: np.ndarray) -> Model:
+def built(known: np.ndarray, symbol: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: int, n_tokens: int, parts: int, parent: np.ndarray, side: np.ndarray, letter_counts: np.ndarray) -> Model:
     k, n = len(known), 1 << TRIE
-    trunk = paths(parent, side, np.concatenate([counts, [max(1, n_docs), max(1.0, buckets.sum())]]))
+    trunk = paths(parent, side, np.concatenate([counts, [max(1, n_docs), max(1.0, buckets.sum())]]), False)
     # The rarer words' leaf grows into a complete tree over the buckets of their hashes.
     stem = int(trunk.size[k + 1])
     level, shares = buckets.astype(np.float64), []
@@ -237,14 +247,14 @@ def built(known: np.ndarray, counts: np.ndarray, buckets: np.ndarray, n_docs: in
     order = np.argsort(code, kind="stable")
     rank = np.empty(len(code), np.uint64)
     rank[order] = np.arange(len(code), dtype=np.uint64)
-    by_rank = code[order]
-    heads = by_rank >> np.uint64(32 - TOP)
+    heads = code[order] >> np.uint64(32 - TOP)
     top = np.searchsorted(heads, heads).astype(np.uint64)[rank.astype(np.int64)]
-    hot = np.concatenate([counts * HOT > max(1, n_tokens), np.zeros(1 + n, bool)])
+    hot = np.concatenate([counts * HOT > PART_ROWS, np.zeros(1 + n, bool)])
+    # A context's hash has bits beyond the number of training tokens, so that few contexts are taken for another.
     bits = min(64 - SYMBOL_BITS, max(32, int(n_tokens).bit_length() + SPARE_BITS))
     letters = paths(*huffman(letter_counts), letter_counts)
     letter_bits = (letters.code[:, None] >> (np.uint64(31) - np.arange(letters.own.shape[1], dtype=np.uint64))) & np.uint64(1)
-    return Model(known, counts, buckets, Tree(code, size, trunk.nodes, own), rank, by_rank, size[order], top, hot, stem, bits, parts, letters, letter_bits.astype(bool))
+    return Model(known, symbol, counts, buckets, Tree(code, size, trunk.nodes, own), rank, order, code[order], top, hot, stem, bits, parts, letters, letter_bits.astype(bool))
 
 
 def reduced(h: np.ndarray, places: int, bits: int = 64) -> np.ndarray:
@@ -260,8 +270,10 @@ def before(h: np.ndarray, back: int) -> np.ndarray:
 
 def expand(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For things of these sizes in turn: the thing and the place in it of each of their parts."""
-    which = np.repeat(np.arange(len(size)), size)
-    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+    total = int(size.sum())
+    kind = np.int32 if total < 1 << 31 else np.int64
+    first = (np.cumsum(size) - size).astype(kind)
+    return np.repeat(np.arange(len(size), dtype=kind), size), np.arange(total, dtype=kind) - np.repeat(first, size)
 
 
 # ---- spelling
@@ -275,7 +287,7 @@ def spelled_bits(model: Model, letters: np.ndarray, place: np.ndarray) -> tuple[
     after.append(after[1] | last[3] << np.uint64(27) | last[4] << np.uint64(36))
     which, depth = expand(model.letters.size[letters])
     node = model.letters.nodes[letters[which], depth].astype(np.uint64)
-    return which, model.letter_bits[letters[which], depth], [reduced(mix(mix(a ^ salt)[which] + node * _SALTS[4]), BYTE_PLACES) for a, salt in zip(after, _SALTS[3:6], strict=True)]
+    return which, model.letter_bits[letters[which], depth], [reduced((mix(a ^ salt)[which] + node * _SALTS[4]) * _SALTS[0], BYTE_PLACES) for a, salt in zip(after, _SALTS[3:6], strict=True)]
 
 
 def letters_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -330,38 +342,59 @@ def from_planes(data: bytes, n: int, kind: type) -> np.ndarray:
 
 
 def chunk_schema(doc_id: pa.DataType) -> pa.Schema:
-    return pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("doc_id", pa.list_(doc_id)), ("held", pa.list_(pa.bool_())), ("n_words", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())), ("symbols", pa.binary()), ("rarer", pa.binary()), ("n_rarer", pa.int64()), ("spelled", pa.binary()), ("n_spelled", pa.int64())])
+    return pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("doc_id", pa.list_(doc_id)), ("held", pa.bool_()), ("n_words", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())), ("symbols", pa.binary()), ("rarer", pa.binary()), ("n_rarer", pa.int64()), ("spelled", pa.binary()), ("n_spelled", pa.int64())])
+
+
+class Held:
+    """Rows on their way to a chunk."""
+
+    def __init__(self, held: bool):
+        self.held, self.size = held, 0
+        self.ids, self.n_words, self.n_bytes, self.symbols, self.rarer, self.letters = [], [], [], [], [], []
+
+    def add(self, model: Model, w: Words, ids: list) -> None:
+        at = np.minimum(np.searchsorted(model.known, w.hash), max(0, len(model.known) - 1))
+        rarer = model.known[at] != w.hash if len(model.known) else np.ones(len(w.hash), bool)
+        bucket = len(model.known) + 1 + (w.hash >> np.uint64(64 - TRIE)).astype(np.int64)
+        self.symbols.append(np.where(rarer, bucket, model.symbol[at]).astype(np.uint32) if len(model.known) else bucket.astype(np.uint32))
+        self.rarer.append(w.hash[rarer])
+        if self.held:
+            self.letters.extend(w.data[a:b].tobytes() + b" " for a, b in zip(w.start[rarer].tolist(), w.end[rarer].tolist(), strict=True))
+        else:
+            taught = np.flatnonzero(rarer)
+            self.taught = taught[np.unique(w.hash[taught], return_index=True)[1]]
+        self.ids += ids
+        self.n_words.append(np.diff(w.first))
+        self.n_bytes.append(np.bincount(w.row_of(), w.end - w.start, minlength=w.n_rows).astype(np.int64) + np.diff(w.first))
+        self.size += len(w.data)
+
+    def row(self, schema: pa.Schema) -> pa.RecordBatch:
+        rarer, letters = np.concatenate(self.rarer), b"".join(self.letters)
+        row = [-1, None, self.ids, self.held, np.concatenate(self.n_words), np.concatenate(self.n_bytes), planes(np.concatenate(self.symbols)), planes(rarer >> np.uint64(RARER_SHIFT)), len(rarer), pa.compress(letters, "zstd", asbytes=True), len(letters)]
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
 
 def encode(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks: their rows' doc_id, whether held out, words and bytes; symbols of the words; hashes of the rarer ones in turn, and
-    of those in held-out rows the spelling, each followed by a space. At the end the task's blocks (part, counts) of the byte
-    table, for which each chunk tells each of its rarer training words once."""
+    """Chunks of held-out or of training rows: their doc_id, words and bytes; symbols of the words; hashes of the rarer ones in
+    turn, and in held-out rows their spelling, each followed by a space. At the end the task's blocks (part, counts) of the byte
+    table, for which each megabyte tells each of its rarer training words once."""
     table, schema = np.zeros(2 * BYTE_PLACES, np.int32), None
+    now = {held: Held(held) for held in (False, True)}
     for batch in batches:
-        ids, held = string_column(batch, "doc_id"), string_column(batch, "held").to_numpy(zero_copy_only=False).astype(bool)
-        schema = schema or chunk_schema(ids.type)
-        for w in words(string_column(batch, "text"), CHUNK):
-            at = np.minimum(np.searchsorted(model.known, w.hash), max(0, len(model.known) - 1))
-            rarer = model.known[at] != w.hash if len(model.known) else np.ones(len(w.hash), bool)
-            symbol = np.where(rarer, len(model.known) + 1 + (w.hash >> np.uint64(64 - TRIE)).astype(np.int64), at).astype(np.uint32)
-            mine, n_words = held[w.rows], np.diff(w.first)
-            outside = np.repeat(mine, n_words)
-            spelled = np.flatnonzero(rarer & outside)
-            letters = b"".join(w.data[a:b].tobytes() + b" " for a, b in zip(w.start[spelled].tolist(), w.end[spelled].tolist(), strict=True))
-            taught = np.flatnonzero(rarer & ~outside)
-            taught = taught[np.unique(w.hash[taught], return_index=True)[1]]
-            for part in np.array_split(taught, len(taught) // 10_000 + 1):
-                if len(part):
-                    seq, _, place = letters_of(w.data, w.start[part], w.end[part])
-                    _, bit, places = spelled_bits(model, seq, place)
-                    for p in places:
-                        table += np.bincount(2 * p + bit, minlength=len(table)).astype(np.int32) if len(p) > 1 << 18 else 0
-                        if len(p) <= 1 << 18:
-                            np.add.at(table, 2 * p + bit, np.int32(1))
-            n_bytes = np.bincount(w.row_of(), w.end - w.start, minlength=w.n_rows).astype(np.int64) + n_words
-            row = [-1, None, ids.slice(w.rows.start, w.n_rows).to_pylist(), mine.tolist(), n_words.tolist(), n_bytes.tolist(), planes(symbol), planes(w.hash[rarer]), int(rarer.sum()), pa.compress(letters, "zstd", asbytes=True), len(letters)]
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
+        schema = schema or chunk_schema(string_column(batch, "doc_id").type)
+        for held in (False, True):
+            mine = batch.filter(pc.equal(string_column(batch, "held"), held))
+            ids = string_column(mine, "doc_id")
+            for w in words(string_column(mine, "text")):
+                now[held].add(model, w, ids.slice(w.rows.start, w.n_rows).to_pylist())
+                if not held:
+                    teach(model, table, w, now[held].taught)
+                if now[held].size >= CHUNK:
+                    yield now[held].row(schema)
+                    now[held] = Held(held)
+    for left in now.values():
+        if left.ids:
+            yield left.row(schema)
     parts = table.reshape(-1, 2 * BYTE_PART)
     used = np.flatnonzero(parts.any(axis=1))
     if schema is not None and len(used):
@@ -369,9 +402,19 @@ def encode(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([*first, *(pa.nulls(len(used), f.type) for f in list(schema)[2:])], schema=schema)
 
 
+def teach(model: Model, table: np.ndarray, w: Words, taught: np.ndarray) -> None:
+    """Add the spelling of these words to the byte table."""
+    for part in np.array_split(taught, len(taught) // 10_000 + 1):
+        if len(part):
+            letters, _, place = letters_of(w.data, w.start[part], w.end[part])
+            _, bit, places = spelled_bits(model, letters, place)
+            for p in places:
+                np.add.at(table, 2 * p + bit, np.int32(1))
+
+
 @dataclass
 class Chunk:
-    """The tokens of a chunk's rows, each row's words and its end, and the context pairs that they need, each once."""
+    """The tokens of a chunk's rows, each row's words and its end."""
 
     n_words: np.ndarray
     row: np.ndarray
@@ -379,49 +422,42 @@ class Chunk:
     symbol: np.ndarray
     rarer: np.ndarray
     hashes: np.ndarray
-    pairs: np.ndarray
-    times: np.ndarray
-    #: By token, after one and two words: its pair, and the one that has the first bits.
-    one: np.ndarray
-    two: np.ndarray
-    one_top: np.ndarray
-    two_top: np.ndarray
 
 
-def read_chunk(model: Model, n_words: np.ndarray, held: np.ndarray, symbols: bytes, rarer: bytes, n_rarer: int) -> Chunk:
-    k = len(model.known)
+def read_chunk(model: Model, r: dict) -> Chunk:
+    k, n_words = len(model.known), np.array(r["n_words"], np.int64)
     row, place = expand(n_words + 1)
-    is_word = place < n_words[row]
-    symbol = np.full(len(row), k, np.int64)
-    symbol[is_word] = from_planes(symbols, int(n_words.sum()), np.uint32)
-    is_rarer = symbol > k
-    hashes = from_planes(rarer, n_rarer, np.uint64)
+    symbol = np.full(len(row), k, np.int32)
+    symbol[place < n_words[row]] = from_planes(r["symbols"], int(n_words.sum()), np.uint32)
+    return Chunk(n_words, row, place, symbol, symbol > k, from_planes(r["rarer"], r["n_rarer"], np.uint64) << np.uint64(RARER_SHIFT))
+
+
+def pairs_of(model: Model, c: Chunk, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of a context of ``order`` words and a symbol that the chunk needs, each once and ascending, and by token its
+    pair and the one that has the first bits of its symbol."""
+    is_end = c.symbol == len(model.known)
     # A word as a context: by its symbol if it has one of its own; an end is what a row's first word follows.
-    word = mix(symbol.astype(np.uint64) + np.uint64(1))
-    word[is_rarer], word[~is_word] = hashes, _START
-    hot = model.hot[symbol] | ~is_word
-    one, two, one_hot, two_hot = before(word, 1), before(word, 2), before(hot, 1), before(hot, 2)
-    first = place == 0
-    one[first] = two[first] = _START
-    two[1:][first[:-1]] = _START
-    one_hot[first] = two_hot[first] = True
-    two_hot[1:][first[:-1]] = True
-    contexts = [mix(one ^ _SALTS[0]), mix(mix(two ^ _SALTS[1]) ^ one)]
-    rank, top = model.rank[symbol], model.top[symbol]
-    whole, tops, at_top = [], [], []
-    for context, is_hot in zip(contexts, (one_hot, one_hot & two_hot), strict=True):
-        at_top.append(np.flatnonzero(is_hot))
-        tops.append(pair(model, mix(context[is_hot] ^ _SALTS[2]), top[is_hot]))
-        whole.append(pair(model, np.where(is_hot, mix(context ^ (top + np.uint64(1)) * _SALTS[5]), context), rank))
-    pairs, at = np.unique(np.concatenate([*whole, *tops]), return_inverse=True)
-    n = len(row)
-    trains = ~held[row]
-    weight = np.concatenate([trains, trains, trains[at_top[0]], trains[at_top[1]]])
-    times = np.bincount(at, weight, minlength=len(pairs)).astype(np.uint32)
-    found = [at[:n], at[n : 2 * n], at[:n].copy(), at[n : 2 * n].copy()]
-    found[2][at_top[0]] = at[2 * n : 2 * n + len(at_top[0])]
-    found[3][at_top[1]] = at[2 * n + len(at_top[0]) :]
-    return Chunk(n_words, row, place, symbol, is_rarer, hashes, pairs, times, *found)
+    word = mix(c.symbol.astype(np.uint64) + np.uint64(1))
+    word[c.rarer], word[is_end] = c.hashes, _START
+    hot = model.hot[c.symbol] | is_end
+    first = c.place == 0
+    one, is_hot = before(word, 1), before(hot, 1)
+    one[first], is_hot[first] = _START, True
+    if order == 1:
+        context = mix(one ^ _SALTS[0])
+    else:
+        two, two_hot = before(word, 2), before(hot, 2)
+        two[first], two_hot[first] = _START, True
+        two[1:][first[:-1]], two_hot[1:][first[:-1]] = _START, True
+        context, is_hot = mix(mix(two ^ _SALTS[1]) ^ one), is_hot & two_hot
+    top, split = model.top[c.symbol], np.flatnonzero(is_hot)
+    tops = pair(model, mix(context[split] ^ _SALTS[2]), top[split])
+    context[split] = mix(context[split] ^ (top[split] + np.uint64(1)) * _SALTS[5])
+    found, at = np.unique(np.concatenate([pair(model, context, model.rank[c.symbol]), tops]), return_inverse=True)
+    whole = at[: len(context)]
+    at_top = whole.copy()
+    at_top[split] = at[len(context) :]
+    return found, whole, at_top
 
 
 def pair(model: Model, context: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -433,31 +469,43 @@ def part_edges(model: Model, h: np.ndarray, bits: int) -> np.ndarray:
     return np.searchsorted(reduced(h, model.parts, bits), np.arange(model.parts + 1))
 
 
-def chunk_of(model: Model, r: dict) -> Chunk:
-    return read_chunk(model, np.array(r["n_words"], np.int64), np.array(r["held"], bool), r["symbols"], r["rarer"], r["n_rarer"])
-
-
-def rarer_words(c: Chunk, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def rarer_words(c: Chunk, held: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the chunk's rarer words, how often training rows have them, and which each occurrence is."""
     found, at = np.unique(c.hashes, return_inverse=True)
-    return found, np.bincount(at, ~held[c.row[c.rarer]], minlength=len(found)).astype(np.uint32), at
+    return found, np.bincount(at, minlength=len(found)).astype(np.uint32) * np.uint32(not held), at
 
 
-def sends(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, chunk, pairs, times, n, words, word_times, n_words): what each part gets of each chunk."""
+def sends(model: Model, order: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, chunk, contexts, symbols, times, n, words, word_times, n_words): what each part gets of each chunk, contexts of
+    ``order`` words and, with those of one word, the counts of rarer words."""
     for batch in batches:
         for r in batch.to_pylist():
-            c, held = chunk_of(model, r), np.array(r["held"], bool)
-            found, times, _ = rarer_words(c, held)
-            of_pairs, of_words = part_edges(model, c.pairs >> np.uint64(SYMBOL_BITS), model.context_bits), part_edges(model, found, 64)
+            c = read_chunk(model, r)
+            pairs, whole, top = pairs_of(model, c, order)
+            times = np.bincount(whole, minlength=len(pairs)) + np.bincount(top[top != whole], minlength=len(pairs))
+            times = times.astype(np.uint32) * np.uint32(not r["held"])
+            found, word_times, _ = rarer_words(c if order == 1 else replace(c, hashes=c.hashes[:0]), r["held"])
+            of_pairs, of_words = part_edges(model, pairs >> np.uint64(SYMBOL_BITS), model.context_bits), part_edges(model, found, 64)
             out = []
             for part, (a, b, x, y) in enumerate(zip(of_pairs, of_pairs[1:], of_words, of_words[1:], strict=False)):
                 if a < b or x < y:
-                    out.append((part, r["chunk"], planes(np.diff(c.pairs[a:b], prepend=np.uint64(0))), planes(c.times[a:b]), int(b - a), planes(found[x:y]), planes(times[x:y]), int(y - x)))
+                    words_of = planes(np.diff(found[x:y] >> np.uint64(RARER_SHIFT), prepend=np.uint64(0))), planes(word_times[x:y])
+                    out.append((part, r["chunk"], *pair_planes(model, pairs[a:b]), planes(times[a:b]), int(b - a), *words_of, int(y - x)))
             yield pa.RecordBatch.from_pylist([dict(zip(_SENT.names, x, strict=True)) for x in out], schema=_SENT)
 
 
-_SENT = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("pairs", pa.binary()), ("times", pa.binary()), ("n", pa.int64()), ("words", pa.binary()), ("word_times", pa.binary()), ("n_words", pa.int64())])
+def pair_planes(model: Model, pairs: np.ndarray) -> tuple[bytes, bytes]:
+    """The pairs' contexts as differences, and their symbols, in which common ones are small."""
+    symbol = model.by_rank[(pairs & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)]
+    return planes(np.diff(pairs >> np.uint64(SYMBOL_BITS), prepend=np.uint64(0))), planes(symbol.astype(np.uint32))
+
+
+def from_pair_planes(model: Model, r: dict) -> np.ndarray:
+    context = np.cumsum(from_planes(r["contexts"], r["n"], np.uint64), dtype=np.uint64)
+    return context << np.uint64(SYMBOL_BITS) | model.rank.take(from_planes(r["symbols"], r["n"], np.uint32))
+
+
+_SENT = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("contexts", pa.binary()), ("symbols", pa.binary()), ("times", pa.binary()), ("n", pa.int64()), ("words", pa.binary()), ("word_times", pa.binary()), ("n_words", pa.int64())])
 
 
 def merged(arrays: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -468,12 +516,13 @@ def merged(arrays: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def node_states(model: Model, pairs: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """(pair, depth): the state of the branch that the pair's symbol takes at each node of its path, in its context."""
+    """(depth, pair): the state of the branch that the pair's symbol takes at each node of its path, in its context."""
     rank = (pairs & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)
     context, code = pairs >> np.uint64(SYMBOL_BITS), model.code_by_rank[rank]
     depths = model.tree.own.shape[1]
     # Where a symbol is alone below a node, all that was seen took its branch.
-    out = np.repeat(state(total.astype(np.float32), total.astype(np.float32))[:, None], depths, axis=1)
+    out = np.empty((depths, len(pairs)), np.uint8)
+    out[:] = state(total.astype(np.float32), total.astype(np.float32))
     head = np.ones(len(pairs), bool)
     head[1:] = context[1:] != context[:-1]
     alive = np.arange(len(pairs))
@@ -483,7 +532,7 @@ def node_states(model: Model, pairs: np.ndarray, total: np.ndarray) -> np.ndarra
         which = np.cumsum(head) - 1
         sums = np.add.reduceat(total[alive], starts)[which] if len(alive) else np.zeros(0)
         if depth:
-            out[alive, depth - 1] = state(seen.astype(np.float32), sums.astype(np.float32))
+            out[depth - 1, alive] = state(seen.astype(np.float32), sums.astype(np.float32))
         several = (np.diff(np.append(starts, len(alive))) > 1)[which] if len(alive) else np.zeros(0, bool)
         alive, head, seen = alive[several], head[several], sums[several]
         if not len(alive) or depth == depths:
@@ -496,18 +545,33 @@ def node_states(model: Model, pairs: np.ndarray, total: np.ndarray) -> np.ndarra
 def answer(model: Model, rows: pa.Table) -> pa.Table:
     """For each chunk that sent something: the states of its pairs and the counts of its words."""
     rows = rows.to_pylist()
-    pairs, total, at = merged([np.cumsum(from_planes(r["pairs"], r["n"], np.uint64), dtype=np.uint64) for r in rows], [from_planes(r["times"], r["n"], np.uint32) for r in rows])
+    pairs, total, at = merged([from_pair_planes(model, r) for r in rows], [from_planes(r["times"], r["n"], np.uint32) for r in rows])
     states = node_states(model, pairs, total)
-    _, counts, word_at = merged([from_planes(r["words"], r["n_words"], np.uint64) for r in rows], [from_planes(r["word_times"], r["n_words"], np.uint32) for r in rows])
+    _, counts, word_at = merged([np.cumsum(from_planes(r["words"], r["n_words"], np.uint64), dtype=np.uint64) for r in rows], [from_planes(r["word_times"], r["n_words"], np.uint32) for r in rows])
     out, a, x = [], 0, 0
     for r in rows:
         b, y = a + r["n"], x + r["n_words"]
-        mine = np.ascontiguousarray(states[at[a:b]].T)
-        out.append({"chunk": r["chunk"], "part": r["part"], "n": r["n"], "states": pa.compress(mine.tobytes(), "zstd", asbytes=True), "n_words": r["n_words"], "word_counts": planes(counts[word_at[x:y]].astype(np.int64))})
+        out.append({"chunk": r["chunk"], "part": r["part"], "n": r["n"], "states": told(states[:, at[a:b]]), "n_words": r["n_words"], "word_counts": planes(counts[word_at[x:y]].astype(np.int64))})
         a, x = b, y
     return pa.Table.from_pylist(out, schema=_ANSWER)
 
 
+def told(states: np.ndarray) -> bytes:
+    """States by depth, as differences from the depth before, compressed: along most paths they hardly change."""
+    return pa.compress(np.diff(states, axis=0, prepend=np.uint8(0)).tobytes(), "zstd", asbytes=True)
+
+
+def heard(blobs: list[tuple[bytes, int]], depths: int) -> np.ndarray:
+    """The states (pair, depth) of all pairs of a chunk from what its parts ``told`` of so many."""
+    out, at = np.zeros((depths, sum(n for _, n in blobs)), np.uint8), 0
+    for data, n in blobs:
+        if n:
+            flat = np.frombuffer(pa.decompress(data, n * depths, "zstd", asbytes=True), np.uint8)
+            np.cumsum(flat.reshape(depths, n), axis=0, dtype=np.uint8, out=out[:, at : at + n])
+            at += n
+    return np.ascontiguousarray(out.T)
+
+
 _ANSWER = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("states", pa.binary()), ("n_words", pa.int64()), ("word_counts", pa.binary())])
 
 
@@ -520,24 +584,26 @@ ROWS_AT_ONCE = 128
 
 def refined(own: list[np.ndarray], row: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray], rows: int) -> np.ndarray:
     """Nats that the bits of each row take, given the stretched probabilities of what they are; ``own`` weights learn from them."""
-    cell = row * GATES + gate
-    z = own[0][cell] * inputs[0]
+    cell = row * np.int32(GATES) + gate
+    z = own[0].take(cell) * inputs[0]
     for weight, x in zip(own[1:], inputs[1:], strict=True):
-        z += weight[cell] * x
-    e = np.exp(-np.clip(z, -12, 12))
-    error = e / (1 + e)
+        z += weight.take(cell) * x
+    e = np.exp(np.clip(z, -12, 12) * np.float32(-1))
+    cost = np.log1p(e)
+    e /= e + np.float32(1)
     scale = RATE / np.sqrt(np.maximum(np.bincount(cell, minlength=rows * GATES), 1))
     for weight, x in zip(own, inputs, strict=True):
-        weight += scale * np.bincount(cell, error * x, minlength=rows * GATES)
-    return np.bincount(row, np.log1p(e), minlength=rows)
+        weight += scale * np.bincount(cell, e * x, minlength=rows * GATES)
+    return np.bincount(row, cost, minlength=rows)
 
 
 def start_weights(rows: int) -> list[np.ndarray]:
     return [np.tile(first_weights()[:, i], rows) for i in range(INPUTS)]
 
 
-def coded(model: Model, c: Chunk, states: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Nats that each row's tokens take, of whose bits the first ``size`` count."""
+def coded(model: Model, c: Chunk, after: list[tuple[np.ndarray, np.ndarray]], size: np.ndarray) -> np.ndarray:
+    """Nats that each row's tokens take, of whose bits the first ``size`` count; ``after`` one and two words: states of the
+    pairs, and each token's pair."""
     rows, depths = len(c.n_words), model.tree.own.shape[1]
     cost = np.zeros(rows)
     by_length = np.argsort(c.n_words, kind="stable")
@@ -547,18 +613,22 @@ def coded(model: Model, c: Chunk, states: np.ndarray, size: np.ndarray) -> np.nd
     step = group[c.row] * steps + c.place // BLOCK
     order = np.argsort(step, kind="stable")
     edges = np.flatnonzero(np.diff(step[order], prepend=-1, append=-1))
-    flat_own, flat_states = model.tree.own.ravel(), states.ravel()
+    flat_own, size = model.tree.own.ravel(), size.astype(np.int32)
+    (one_states, one_at), (two_states, two_at) = ((states.ravel(), at * depths) for states, at in after)
     own, now = [], -1
     for lo, hi in zip(edges, edges[1:], strict=False):
         token = order[lo:hi]
         if group[c.row[token[0]]] != now:
             now, own = group[c.row[token[0]]], start_weights(ROWS_AT_ONCE)
-        which, depth = expand(size[token])
-        early = depth < TOP
-        found = [flat_states[np.where(early, (top[token] * depths)[which], (rest[token] * depths)[which]) + depth] for rest, top in ((c.one, c.one_top), (c.two, c.two_top))]
-        gate = (found[0] >> 6) * np.uint8(4) + (found[1] >> 6)
-        inputs = [flat_own[(c.symbol[token] * depths)[which] + depth], _STRETCH_OF[found[0]], _STRETCH_OF[found[1]]]
-        got = refined(own, within[c.row[token]][which], gate, inputs, ROWS_AT_ONCE)
+        mine = size[token]
+        first = np.cumsum(mine, dtype=np.int64) - mine
+        at = np.arange(int(mine.sum()))
+        # Of each bit its place in the flat arrays: the token's place there, and how far the bit is from the token's first.
+        one, two, alone = (np.repeat(x - first, mine) + at for x in (one_at[token], two_at[token], c.symbol[token] * np.int64(depths)))
+        one, two = one_states.take(one), two_states.take(two)
+        gate = (one >> 6) * np.uint8(4) + (two >> 6)
+        row = np.repeat(within[c.row[token]].astype(np.int32), mine)
+        got = refined(own, row, gate, [flat_own.take(alone), _STRETCH_OF.take(one), _STRETCH_OF.take(two)], ROWS_AT_ONCE)
         rows_of = by_length[now * ROWS_AT_ONCE : (now + 1) * ROWS_AT_ONCE]
         cost[rows_of] += got[: len(rows_of)]
     return cost
@@ -588,11 +658,16 @@ def spelled(model: Model, byte_table: np.ndarray, data: bytes, row: np.ndarray,
 
 
 def score_chunk(model: Model, byte_table: np.ndarray, unseen: float, answers: list[dict], r: dict) -> dict:
-    held = np.array(r["held"], bool)
-    c, k, rows = chunk_of(model, r), len(model.known), len(held)
-    answers = sorted(answers, key=lambda x: x["part"])
-    depths = model.tree.own.shape[1]
-    states = np.concatenate([np.zeros((0, depths), np.uint8), *[np.frombuffer(pa.decompress(x["states"], x["n"] * depths, "zstd", asbytes=True), np.uint8).reshape(depths, x["n"]).T for x in answers if x["n"]]])
+    held, c, k, rows = r["held"], read_chunk(model, r), len(model.known), len(r["n_words"])
+    after, depths = [], model.tree.own.shape[1]
+    answers = sorted(answers, key=lambda x: (x["words"], x["part"]))
+    for order in (1, 2):
+        _, whole, top = pairs_of(model, c, order)
+        states = heard([(x["states"], x["n"]) for x in answers if x["words"] == order], depths)
+        # The first bits of a split context's symbol were counted apart.
+        split = np.flatnonzero(whole != top)
+        states[whole[split], :TOP] = states[top[split], :TOP]
+        after.append((states, whole))
     of_word = np.concatenate([np.zeros(0, np.int64), *[from_planes(x["word_counts"], x["n_words"], np.int64) for x in answers]])
     count = np.zeros(len(c.row), np.float64)
     ends = c.symbol == k
@@ -602,18 +677,18 @@ def score_chunk(model: Model, byte_table: np.ndarray, unseen: float, answers: li
     new = c.rarer & (count == 0)
     size = model.tree.size[c.symbol]
     size[new] = model.stem
-    nats = coded(model, c, np.ascontiguousarray(states), size)
+    nats = coded(model, c, after, size)
     # Beyond its path, a rarer word is its share of its bucket, and an unseen one a single event.
     old = c.rarer & ~new
     extra = np.zeros(len(c.row))
     extra[old] = np.log(np.maximum(model.buckets[c.symbol[old] - k - 1], 1.0) / count[old]) - np.log1p(-min(unseen, 1 - 1e-12))
     extra[new] = -np.log(unseen)
     nats += np.bincount(c.row, extra, minlength=rows)
-    outside = c.rarer & held[c.row]
-    spelling = spelled(model, byte_table, pa.decompress(r["spelled"], r["n_spelled"], "zstd", asbytes=True) if r["n_spelled"] else b"", c.row[outside], c.place[outside], new[outside], rows)
+    letters = pa.decompress(r["spelled"], r["n_spelled"], "zstd", asbytes=True) if r["n_spelled"] else b""
+    spelling = spelled(model, byte_table, letters, c.row[c.rarer], c.place[c.rarer], new[c.rarer], rows) if held else np.zeros(rows)
     words_only = ~ends
     return {
-        "doc_id": r["doc_id"], "held_out": r["held"], "n_tokens": (c.n_words + 1).tolist(), "known": np.bincount(c.row, words_only & (count > 0), minlength=rows).astype(np.int64).tolist(),
+        "doc_id": r["doc_id"], "held_out": [held] * rows, "n_tokens": (c.n_words + 1).tolist(), "known": np.bincount(c.row, words_only & (count > 0), minlength=rows).astype(np.int64).tolist(),
         "base": np.bincount(c.row, np.where(words_only, np.log10(count + 1), 0), minlength=rows).tolist(), "score": (nats / -np.log(10)).tolist(), "spelled_score": ((nats + spelling) / -np.log(10)).tolist(),
         "bits_per_byte": ((nats + spelling) / np.log(2) / np.maximum(np.array(r["n_bytes"]), 1)).tolist(),
     }
@@ -638,8 +713,9 @@ def scores(docs: DataFrame) -> DataFrame:
             least = r["n"]
     common = every.where(F.col("n") >= (least or 1 << 62)).toArrow()
     known, counts = common["value"].to_numpy().view(np.uint64), common["n"].to_numpy().astype(np.float64)
-    order = np.argsort(known)
-    known, counts = known[order], counts[order]
+    falling = np.lexsort((known, -counts))
+    known, counts = known[falling], counts[falling]
+    symbol = np.argsort(known).astype(np.int32)
     buckets = np.zeros(1 << TRIE)
     bucket = F.shiftrightunsigned("value", 64 - TRIE).cast("int").alias("bucket")
     summed = every.where(F.col("n") < (least or 1 << 62)).groupBy(bucket).agg(F.sum("n").alias("n")).toArrow()
@@ -648,24 +724,36 @@ def scores(docs: DataFrame) -> DataFrame:
     # Of as many words as training had, about as many would be new as it had words that came once.
     unseen = max(1, once) / (buckets.sum() + max(1, once))
     n_all = n_words + n_docs
-    shared = context.broadcast(packed(known, counts, buckets, n_docs, n_all, letter_counts))
+    shared = context.broadcast(packed(known[symbol], symbol, counts, buckets, n_docs, n_all, letter_counts))
 
     texts = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
     key = texts.schema["doc_id"].dataType.simpleString()
-    columns = f"part int, counts binary, doc_id array<{key}>, held array<boolean>, n_words array<bigint>, n_bytes array<bigint>, symbols binary, rarer binary, n_rarer bigint, spelled binary, n_spelled bigint"
+    columns = f"part int, counts binary, doc_id array<{key}>, held boolean, n_words array<bigint>, n_bytes array<bigint>, symbols binary, rarer binary, n_rarer bigint, spelled binary, n_spelled bigint"
     made = stored(texts.mapInArrow(lambda batches: encode(unpacked(shared.value), batches), columns).withColumn("chunk", F.monotonically_increasing_id()).withColumn("task", F.spark_partition_id()))
     table = context.broadcast({"states": byte_states(made.where("part >= 0").select("part", "task", "counts"))})
     chunks = made.where("part < 0").select("chunk", "doc_id", "held", "n_words", "n_bytes", "symbols", "rarer", "n_rarer", "spelled", "n_spelled")
 
-    sent = chunks.select("chunk", "held", "n_words", "symbols", "rarer", "n_rarer").mapInArrow(lambda batches: sends(unpacked(shared.value), batches), "part int, chunk bigint, pairs binary, times binary, n bigint, words binary, word_times binary, n_words bigint")
-    answers = sent.groupBy("part").applyInArrow(lambda rows: answer(unpacked(shared.value), rows), "chunk bigint, part int, n bigint, states binary, n_words bigint, word_counts binary")
+    def answers_after(order: int) -> DataFrame:
+        sent = chunks.select("chunk", "held", "n_words", "symbols", "rarer", "n_rarer").mapInArrow(lambda batches: sends(unpacked(shared.value), order, batches), "part int, chunk bigint, contexts binary, symbols binary, times binary, n bigint, words binary, word_times binary, n_words bigint")
+        got = sent.groupBy("part").applyInArrow(lambda rows: answer(unpacked(shared.value), rows), "chunk bigint, part int, n bigint, states binary, n_words bigint, word_counts binary")
+        return stored(got.withColumn("words", F.lit(order)))
+
+    # One after the other: the first exchange's files are gone when the second begins.
+    told_of = [answers_after(order) for order in (1, 2)]
+    answers = told_of[0].unionByName(told_of[1])
 
     def score(answers: pa.Table, chunk: pa.Table) -> pa.Table:
         got = score_chunk(unpacked(shared.value), table.value["states"], unseen, answers.to_pylist(), chunk.to_pylist()[0])
         return pa.table({"doc_id": pa.array(got.pop("doc_id"), chunk.schema.field("doc_id").type.value_type), **got})
 
     schema = f"doc_id {key}, held_out boolean, n_tokens long, known long, base double, score double, spelled_score double, bits_per_byte double"
-    found = answers.groupBy("chunk").cogroup(chunks.groupBy("chunk")).applyInArrow(score, schema)
+    # A slice of the chunks at a time meets its answers, so that not all of them lie in the shuffle's files at once.
+    found = None
+    for i in range(SLICES):
+        answered, asked = (x.where(F.pmod(F.xxhash64("chunk"), F.lit(SLICES)) == i).groupBy("chunk") for x in (answers, chunks))
+        mine = stored(answered.cogroup(asked).applyInArrow(score, schema))
+        found = mine if found is None else found.unionByName(mine)
+    dropped(made, *told_of)
     return found.select(
         "doc_id",
         "held_out",

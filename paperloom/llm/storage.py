@@ -24,11 +24,20 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir(spark)
 
 
+#: With this setting Spark deletes a query's shuffle files when the query ends; what it wrote is in the shared folder by then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later reads neither recompute it nor depend on an executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -151,14 +151,14 @@ def brute_scores(rows):
 
     every = sorted({w for ws in tokens.values() for w in ws})
     hashed = dict(zip(every, next(arrow_words(pa.array([" ".join(every)]))).hash.tolist(), strict=True))
-    order = sorted(known, key=hashed.get)
+    order = sorted(known, key=lambda w: (-counts[w], hashed[w]))
     docs = sum(not h for h in held.values())
     buckets = np.zeros(1 << m.TRIE)
     for w, n in counts.items():
         if w not in known:
             buckets[hashed[w] >> (64 - m.TRIE)] += n
     total = sum(counts.values()) + docs
-    model = m.built(*m.packed(np.array([hashed[w] for w in order], np.uint64), np.array([float(counts[w]) for w in order]), buckets, docs, total, np.ones(257))["parts"])
+    model = m.built(*m.packed(np.sort([np.uint64(hashed[w]) for w in order]), np.zeros(len(order), int), np.array([float(counts[w]) for w in order]), buckets, docs, total, np.ones(257))["parts"])
     place = {w: i for i, w in enumerate(order)}
 
     def path(w):
