@@ -1,21 +1,27 @@
 """Quality rules under weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
-Each rule looks at one statistic of a text and votes 1 (good), 0 (bad) or abstains (null) between its two thresholds.
-Votes are counted per pattern (3 ** rules patterns at most, whatever the number of documents); expectation-maximisation
-over the pattern counts estimates, for each rule, how often it votes good and bad on good and on bad documents, and the
-share of good documents, without any label. A document's posterior probability of being good decides.
-
-All of it is DataFrame operations: texts are read once and their statistics are stored; the rounds of estimation take the
-counts of the patterns, which are at most 6,561 rows.
-
-Defined cases: a null or empty text has no words and fails the base rules; repeated rows get the same verdict; an empty
-table gives an empty result; further columns of the input are ignored, and ``filter_quality`` returns them unchanged.
+Each rule looks at one statistic of a text and votes 2 (good), 1 (doubtful) or 0 (bad); it abstains (null) on texts too short
+to tell. What is behind the votes is hidden: a document is good, or junk of the kind that one of the rules is made for; kinds
+of junk pass most rules against the others, so each has its own accuracies. Votes are counted per pattern (4 ** rules patterns
+at most, whatever the number of documents); expectation-maximisation over the pattern counts estimates, without any label,
+how often each rule gives each vote on good documents and on each kind of junk, and the shares of these. Before that, each of
+them is believed as ``GOOD`` and ``JUNK`` say, with the weight of ``BELIEF`` document, so data decide. The posterior
+probability of being good decides on a document: a bad vote that a rule gives good documents too does not drop one, and
+several doubtful votes can.
+
+All of it is DataFrame operations: texts are read once and their statistics are stored; the driver estimates from the counts of
+the patterns, which are at most 16,384 rows.
+
+Defined cases: a null or empty text has no words and fails the base rules; repeated rows get the same verdict, as do equal
+texts; all of a very long text counts; an empty table gives an empty result; further columns of the input are ignored, and
+``filter_quality`` returns them unchanged.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,26 +29,22 @@ from .storage import stored, without
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 8
-#: Rule: (statistic, value up to or from which it votes good, value from or up to which it votes bad, low values are good).
+#: Rule: (statistic, value up to or from which it votes good, value from or up to which it votes bad, least words).
 RULES = {
-    "length": ("n_words", 40.0, 19.0, False),
-    "word_size": ("mean_word", 12.0, 20.0, True),
-    "symbols": ("symbols_per_word", 0.05, 0.2, True),
-    "capitals": ("capital_share", 0.2, 0.5, True),
-    "exclamations": ("exclamations_per_word", 0.05, 0.3, True),
-    "line_copies": ("dup_line_share", 0.3, 0.5, True),
-    "repeats": ("repeat_share", 0.1, 0.3, True),
-    "variety": ("distinct_share", 0.6, 0.25, False),
+    "word_size": ("mean_word", 9.0, 12.0, 1),
+    "symbols": ("symbols_per_word", 0.1, 0.4, 1),
+    "capitals": ("capital_share", 0.15, 0.4, 8),
+    "exclamations": ("exclamations_per_word", 0.05, 0.25, 8),
+    "line_copies": ("dup_line_share", 0.2, 0.5, 1),
+    "repeats": ("repeat_share", 0.05, 0.2, 16),
+    "variety": ("distinct_share", 0.5, 0.25, 50),
 }
-#: What is believed of a rule beforehand: P(good vote | good), P(bad vote | good), P(good vote | bad), P(bad vote | bad).
-BELIEF = (0.95, 0.001, 0.85, 0.14)
-PRIOR_GOOD = 0.85
-#: Weight of these beliefs against all documents. Kinds of junk exclude each other, so votes alone don't tell which class is which.
-BELIEF_WEIGHT = 1.0
-#: Bounds of the estimates: a rule calls at most so many good documents bad, and at least so many bad ones good, since
-#: junk of one kind passes the rules against the others.
-MOST_FALSE_ALARMS, LEAST_PASSED = 0.003, 0.85
-ROUNDS = 20
+#: What is believed of a vote (bad, doubtful, good) beforehand: by a rule on other documents than its kind of junk, and on that.
+GOOD, JUNK = (0.002, 0.048, 0.95), (0.8, 0.15, 0.05)
+PRIOR_GOOD = 0.86
+#: Documents that these beliefs count as: so few that data decide, and none of a kind's chances becomes 0.
+BELIEF = 1.0
+ROUNDS = 60
 #: Documents whose posterior probability of being good is at least this are kept.
 THRESHOLD = 0.5
 
@@ -103,61 +105,69 @@ def base_failed() -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """The vote of each rule: 1, 0 or null."""
+    """The vote of each rule: 2, 1, 0 or null."""
     out = {}
-    for name, (stat, good, bad, low) in RULES.items():
+    for name, (stat, good, bad, least) in RULES.items():
         x = F.col(stat)
-        yes, no = (x <= good, x >= bad) if low else (x >= good, x <= bad)
-        out[name] = F.when(yes, 1).when(no, 0)
+        yes, no = (x <= good, x >= bad) if good < bad else (x >= good, x <= bad)
+        out[name] = F.when(F.col("n_words") >= least, F.when(yes, 2).when(no, 0).otherwise(1))
     return out
 
 
-def estimate(stats: DataFrame, rounds: int = ROUNDS) -> tuple[dict[tuple[str, int, int], float], float]:
-    """P(vote | class) by (rule, class, vote), and the share of good documents; the driver sees the pattern counts alone."""
+def beliefs(rules: int) -> tuple[np.ndarray, np.ndarray]:
+    """Before any vote: P(vote | kind) by (kind, rule, vote), the good documents first, and the shares of the kinds."""
+    chances = np.tile(np.array(GOOD), (rules + 1, rules, 1))
+    chances[np.arange(rules) + 1, np.arange(rules)] = JUNK
+    return chances, np.array([PRIOR_GOOD, *[(1 - PRIOR_GOOD) / rules] * rules])
+
+
+def expected(patterns: np.ndarray, chances: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """P(kind | votes) by (pattern, kind); a vote of -1 is an abstention, which tells nothing."""
+    logs = np.tile(np.log(shares), (len(patterns), 1))
+    for k in range(patterns.shape[1]):
+        voted = patterns[:, k] >= 0
+        logs[voted] += np.log(chances[:, k, :])[:, patterns[voted, k]].T
+    raised = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def maximised(patterns: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Chances and shares after so many rounds of expectation and maximisation."""
+    believed, shares_before = beliefs(patterns.shape[1])
+    chances, shares = believed.copy(), shares_before.copy()
+    for _ in range(rounds):
+        mass = expected(patterns, chances, shares) * n[:, None]
+        shares = (mass.sum(axis=0) + BELIEF * shares_before) / (mass.sum() + BELIEF)
+        for k in range(patterns.shape[1]):
+            for vote in range(3):
+                chances[:, k, vote] = mass[patterns[:, k] == vote].sum(axis=0) + BELIEF * believed[:, k, vote]
+            chances[:, k] /= chances[:, k].sum(axis=1, keepdims=True)
+    return chances, shares
+
+
+def estimate(stats: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Chances and shares; the driver sees the pattern counts alone."""
     counted = stats.select(*[v.alias(k) for k, v in votes().items()]).groupBy(*RULES).agg(F.count("*").alias("n")).collect()
-    total = sum(r["n"] for r in counted)
-    belief = dict(zip(((1, 1), (1, 0), (0, 1), (0, 0)), BELIEF, strict=True))  # by class and vote
-    model, prior = {(k, *cv): x for k in RULES for cv, x in belief.items()}, PRIOR_GOOD
-    for _ in range(rounds if total else 0):
-        weight = {1: BELIEF_WEIGHT * total * PRIOR_GOOD, 0: BELIEF_WEIGHT * total * (1 - PRIOR_GOOD)}
-        hits = {key: weight[key[1]] * belief[key[1:]] for key in model}
-        for r in counted:
-            logit = math.log(prior / (1 - prior)) + sum(evidence(model, k, r[k]) for k in RULES)
-            good = 1 / (1 + math.exp(-logit))
-            for c, mass in ((1, r["n"] * good), (0, r["n"] * (1 - good))):
-                weight[c] += mass
-                for k in RULES:
-                    if r[k] is not None:
-                        hits[k, c, r[k]] += mass
-        model = {key: x / weight[key[1]] for key, x in hits.items()}
-        for k in RULES:
-            model[k, 1, 0] = min(model[k, 1, 0], MOST_FALSE_ALARMS)
-            model[k, 0, 1] = max(model[k, 0, 1], LEAST_PASSED)
-        prior = weight[1] / (weight[0] + weight[1])
-    return model, prior
-
-
-def evidence(model: dict[tuple[str, int, int], float], rule: str, vote: int | None) -> float:
-    """The log of how much likelier a vote (null: an abstention) is on a good document than on a bad one."""
-    if vote is None:
-        rest = [max(1e-2, 1 - model[rule, c, 1] - model[rule, c, 0]) for c in (1, 0)]
-        return math.log(rest[0] / rest[1])
-    return math.log(model[rule, 1, vote] / model[rule, 0, vote])
-
-
-def posterior(model: dict[tuple[str, int, int], float], prior: float) -> Column:
+    patterns = np.array([[-1 if r[k] is None else r[k] for k in RULES] for r in counted], int).reshape(-1, len(RULES))
+    return maximised(patterns, np.array([r["n"] for r in counted], float), rounds)
+
+
+def posterior(chances: np.ndarray, shares: np.ndarray) -> Column:
     """P(good | the votes in the columns named like the rules)."""
-    logit = F.lit(math.log(prior / (1 - prior)))
-    for k in RULES:
-        logit = logit + F.when(F.col(k) == 1, evidence(model, k, 1)).when(F.col(k) == 0, evidence(model, k, 0)).otherwise(evidence(model, k, None))
-    return 1 / (1 + F.exp(-logit))
+    logs = []
+    for chance, share in zip(chances, shares, strict=True):
+        log = F.lit(math.log(share))
+        for k, by_vote in zip(RULES, np.log(chance), strict=True):
+            log = log + F.coalesce(F.element_at(F.array(*[F.lit(float(x)) for x in by_vote]), F.col(k) + 1), F.lit(0.0))
+        logs.append(log)
+    others = [F.exp(F.least(F.lit(700.0), x - logs[0])) for x in logs[1:]]
+    return 1 / (1 + sum(others[1:], others[0]))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the statistics, base_failed, p_good and kept, a row for each row of ``docs``."""
     stats = stored(statistics(docs))
-    model, prior = estimate(stats)
-    scored = stats.withColumns(votes()).withColumn("p_good", posterior(model, prior)).drop(*RULES)
+    scored = stats.withColumns(votes()).withColumn("p_good", posterior(*estimate(stats))).drop(*RULES)
     scored = scored.withColumn("base_failed", base_failed())
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= THRESHOLD))
 

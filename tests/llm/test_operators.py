@@ -417,6 +417,44 @@ def test_quality(spark, odd_docs):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.3 * len(bad)
 
 
+def test_accuracies_are_recovered():
+    """From votes on good documents and kinds of junk with known accuracies, without any label."""
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    rules = len(op09_quality_rules.RULES)
+    kind = draw.choice(rules + 1, 40_000, p=[0.79, *[0.21 / rules] * rules])
+    chances = np.tile([0.01, 0.09, 0.9], (rules + 1, rules, 1))
+    chances[0, 2] = 0.1, 0.1, 0.8  # a rule that is often wrong on good documents
+    for k in range(rules):
+        chances[k + 1, k] = 0.85, 0.1, 0.05
+        chances[k + 1, (k + 1) % rules] = 0.5, 0.3, 0.2
+    dice = draw.random((len(kind), rules, 1))
+    votes = (dice > np.cumsum(chances[kind], axis=2)[:, :, :2]).sum(axis=2)
+    votes[draw.random(votes.shape) < 0.1] = -1
+    patterns, n = np.unique(votes, axis=0, return_counts=True)
+    got, shares = op09_quality_rules.maximised(patterns, n.astype(float))
+    assert abs(shares[0] - 0.79) < 0.03
+    assert abs(got[0] - chances[0]).max() < 0.03
+    assert all(abs(got[k + 1, k, 0] - 0.85) < 0.12 for k in range(rules))
+    # The unreliable rule's bad vote alone does not drop a document; a reliable one's with its companion's does.
+    alone, both = np.full((1, rules), 2), np.full((1, rules), 2)
+    alone[0, 2], both[0, 4], both[0, 5] = 0, 0, 0
+    assert op09_quality_rules.expected(alone, got, shares)[0, 0] > 0.5 > op09_quality_rules.expected(both, got, shares)[0, 0]
+
+
+def test_estimates_decide(spark):
+    """The verdict is not that all rules must pass, in either direction, and rounds change it."""
+    stats = op09_quality_rules.statistics(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).cache()
+    rules = list(op09_quality_rules.RULES)
+    voted = stats.withColumns(op09_quality_rules.votes()).where(~op09_quality_rules.base_failed())
+    p = {n: op09_quality_rules.posterior(*op09_quality_rules.estimate(stats, n)) for n in (0, op09_quality_rules.ROUNDS)}
+    passes = ~F.greatest(*[F.coalesce((F.col(r) == 0).cast("int"), F.lit(0)) for r in rules]).cast("boolean")
+    got = voted.select(passes.alias("passes"), *[(x >= 0.5).alias(f"p{n}") for n, x in p.items()]).collect()
+    assert sum(r["passes"] != r[f"p{op09_quality_rules.ROUNDS}"] for r in got) >= 20
+    assert sum(r["p0"] != r[f"p{op09_quality_rules.ROUNDS}"] for r in got) >= 20
+
+
 # ---- 10
 
 
