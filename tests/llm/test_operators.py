@@ -425,7 +425,7 @@ def test_accuracies_are_recovered():
     rules = len(op09_quality_rules.RULES)
     kind = draw.choice(rules + 1, 40_000, p=[0.79, *[0.21 / rules] * rules])
     chances = np.tile([0.01, 0.09, 0.9], (rules + 1, rules, 1))
-    chances[0, 2] = 0.1, 0.1, 0.8  # a rule that is often wrong on good documents
+    chances[0, 2] = 0.01, 0.29, 0.7  # a rule that often doubts good documents
     for k in range(rules):
         chances[k + 1, k] = 0.85, 0.1, 0.05
         chances[k + 1, (k + 1) % rules] = 0.5, 0.3, 0.2
@@ -437,10 +437,10 @@ def test_accuracies_are_recovered():
     assert abs(shares[0] - 0.79) < 0.03
     assert abs(got[0] - chances[0]).max() < 0.03
     assert all(abs(got[k + 1, k, 0] - 0.85) < 0.12 for k in range(rules))
-    # The unreliable rule's bad vote alone does not drop a document; a reliable one's with its companion's does.
+    # A rule's doubt alone does not drop a document; a bad vote with its companion's doubt does.
     alone, both = np.full((1, rules), 2), np.full((1, rules), 2)
-    alone[0, 2], both[0, 4], both[0, 5] = 0, 0, 0
-    assert op09_quality_rules.expected(alone, got, shares)[0, 0] > 0.5 > op09_quality_rules.expected(both, got, shares)[0, 0]
+    alone[0, 2], both[0, 4], both[0, 5] = 1, 0, 1
+    assert op09_quality_rules.expected(alone, got, shares)[0, 0] > 0.9 > 0.1 > op09_quality_rules.expected(both, got, shares)[0, 0]
 
 
 def test_estimates_decide(spark):
