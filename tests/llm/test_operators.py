@@ -434,7 +434,7 @@ def test_accuracies_are_recovered():
     votes[draw.random(votes.shape) < 0.1] = -1
     patterns, n = np.unique(votes, axis=0, return_counts=True)
     got, shares = op09_quality_rules.maximised(patterns, n.astype(float))
-    assert abs(shares[0] - 0.79) < 0.03
+    assert abs(shares[0] - 0.79) < 0.05
     assert abs(got[0] - chances[0]).max() < 0.03
     assert all(abs(got[k + 1, k, 0] - 0.85) < 0.12 for k in range(rules))
     # A rule's doubt alone does not drop a document; a bad vote with its companion's doubt does.
