@@ -392,6 +392,35 @@ def test_pages_alike(spark):
     assert got[-1] == "Other layout"
 
 
+def test_template_decides(spark):
+    """On a host whose names tell nothing, or mislead, its template finds the article; without the other pages it could not."""
+    page = """<html><body><div class=a><div class=b>Top line</div><div class=b>Second line</div></div><div class="{0}"><h2>{1}</h2><p>{2}</p><p>Same on all pages.</p></div>
+<div class=d><div class=e>Answer by {3}</div></div><div class=f>Last line</div></body></html>"""
+    rows, want = [], {}
+    for n, name in enumerate(("c", "widget")):
+        for i in range(8):
+            key = 100 * n + i
+            rows.append((key, f"http://h{n}.example/{i}", page.format(name, prose(key + 1, 4), prose(key + 300, 60), prose(key + 500, 5))))
+            want[key] = "\n\n".join([prose(key + 1, 4), prose(key + 300, 60), "Same on all pages."])
+    got = {r["page_id"]: r["text"] for r in op08_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+    assert all(op08_templates.main_text(html, None, []) != want[key] for key, _, html in rows)
+
+
+def test_frames_and_names(spark):
+    """A form around the page is no form to leave out, one within is; a name's word marks no paragraph."""
+    rows = [
+        (1, "http://a.example/", f"<html><body><form><div><h1>Head</h1><p>{prose(1, 30)}</p><form><p>Your mail</p></form></div></form></body></html>"),
+        (2, "http://b.example/", f'<html><body><article><p class="share-price">{prose(2, 9)}</p><p class="share">Tell friends</p><p>{prose(3, 30)}</p><div class="share-bar">Send</div></article></body></html>'),
+        (3, " \u00a0http://c.example/x ", f"<html><body><article><p>{prose(4, 30)}</p><form><p>Your mail</p></form></article></body></html>"),
+    ]
+    got = {r["page_id"]: r["text"] for r in op08_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].startswith("Head\n\n" + prose(1, 30)) and got[2] == prose(2, 9) + "\n\n" + prose(3, 30) and got[3] == prose(4, 30)
+    urls = [" HTTP://A.de/x", "https://b.de?q#f", None, "", "c.de", "\thttp://d.de/\n", "http://e.de\u3000/x"]
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in frame.select(op08_templates.host_column(F.col("url"))).collect()] == [op08_templates.host_of(u) for u in urls]
+
+
 # ---- 9
 
 
