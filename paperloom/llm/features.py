@@ -45,7 +45,7 @@ def hashed_share(column: Column, seed: int) -> Column:
 
 
 def label_sample(labels: DataFrame, label: str, most: int, seed: int) -> DataFrame:
-    """About ``most`` rows (doc_id, label) at most, one for each doc_id that has the label; a choice by hashed doc_id."""
-    one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
+    """About ``most`` rows (doc_id as text, label) at most, one for each doc_id that has the label; a choice by hashed doc_id."""
+    one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("string").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     rows = one.count()
     return one.where(hashed_share(F.col("doc_id"), seed) < min(1.0, most / max(rows, 1)))

@@ -3,13 +3,14 @@
 The target model counts hashed tokens (words and runs of punctuation) and pairs of neighbours, each once a document, of
 documents that are labelled as good, the raw model those of all documents; counts are added up per bucket by a grouped aggregate. Both are smoothed by
 ``SMOOTHING`` documents, so n-grams that are too rare to have been expected in the target tell nothing. A document's
-importance weight is the mean, over its n-grams, of log(target / raw), times ``SHARPNESS``; a hashed Gumbel number is
+importance weight is the sum, over its n-grams, of log(target / raw), at a temperature of (n-grams + ``SHRINK``) /
+``SHARPNESS``, so that texts of all lengths are held to the same ratio; a hashed Gumbel number is
 added, and the k greatest sums are drawn, which samples k documents without replacement in proportion to exp(weight).
 
 k is the number of documents whose weight reaches a cut that is found on labelled documents outside the target model.
 The k-th greatest sum is
-found by counting sums in ever finer bins, so nothing is sorted in one place; ties at the k-th place fall to the smaller
-doc_id.
+found by counting sums in ever finer bins, so nothing is sorted in one place; ties at the k-th place, however many, fall to
+the greater hash of the doc_id in the same way.
 
 Defined cases: null and empty texts have no n-gram and the weight 0; rows that repeat a doc_id get the same draw; without
 labels of both kinds all documents are kept; an empty table gives an empty result; further columns are ignored by
@@ -73,7 +74,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_ratio(docs: DataFrame, labelled: DataFrame) -> np.ndarray | None:
     """log(target / raw) by bucket; null without target text. The buckets bound what the driver gets."""
     good = labelled.where("label = 1").select("doc_id", F.lit(True).alias("good"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_or_shuffled(good, MOST_EXAMPLES), "doc_id", "left").select("text", "good")
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").join(small_or_shuffled(good, MOST_EXAMPLES), "doc_id", "left").select("text", "good")
     sums = texts.mapInArrow(counted, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     got = sums.toArrow()
     raw, target = np.zeros(1 << BITS), np.zeros(1 << BITS)
@@ -130,15 +131,17 @@ def importance(docs: DataFrame, labels: DataFrame) -> DataFrame:
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40)) + 0.5) / F.lit(float(1 << 40))
     found = weighed(docs, ratio).withColumn("weight", F.col("mean_ratio") * SHARPNESS)
     found = stored(found.withColumn("key", F.col("weight") - F.log(-F.log(uniform))))
-    good = found.join(small_or_shuffled(labelled.where("label = 1 and for_cut").select("doc_id"), MOST_EXAMPLES), "doc_id")
+    chosen = labelled.where("label = 1 and for_cut").select(F.col("doc_id").alias("__doc_id"))
+    good = found.join(small_or_shuffled(chosen, MOST_EXAMPLES), F.col("doc_id").cast("string") == F.col("__doc_id"))
     cut = good.agg(F.percentile("mean_ratio", LOST)).first()[0]
     k = found.where(F.col("mean_ratio") >= (cut if cut is not None else float("-inf")) - MARGIN).count()
     if not k:
         return found.select("doc_id", "n_grams", "weight", "key", F.lit(False).alias("kept"))
     edge, ties = kth_greatest(found, k)
-    tied = found.where(F.col("key") == edge)
-    last = [r[0] for r in tied.select("doc_id").orderBy("doc_id").limit(min(ties, BINS)).tail(1)] if tied.count() > ties else [None]
-    at_edge = F.lit(True) if last[0] is None else F.col("doc_id") <= last[0]
+    # Of equal sums at the k-th place those with the greatest hash of the doc_id, found by the same finer bins.
+    by_hash = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED + 1)), 11).cast("double")
+    last, _ = kth_greatest(found.where(F.col("key") == edge).select(by_hash.alias("key")), ties)
+    at_edge = by_hash >= F.lit(float(last))
     return found.select("doc_id", "n_grams", "weight", "key", ((F.col("key") > edge) | ((F.col("key") == edge) & at_edge)).alias("kept"))
 
 

@@ -41,7 +41,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, label, buckets) of labelled texts, each bucket once."""
+    """(hashed doc_id, label, buckets) of labelled texts, each bucket once."""
     for batch in batches:
         at = 0
         for w in bare_words(string_column(batch, "text")):
@@ -60,7 +60,7 @@ def fit(rows: pa.Table) -> pa.Table:
     ids, label = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
-    order = np.argsort((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16), kind="stable")
+    order = np.argsort(ids, kind="stable")
 
     def weights(at: np.ndarray) -> np.ndarray:
         shrunk = np.sign(z[at]) * L1 - z[at]
@@ -83,7 +83,8 @@ def fit(rows: pa.Table) -> pa.Table:
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_EXAMPLES) -> tuple[np.ndarray, np.ndarray, float]:
     """Buckets (ascending) and weights of the model, and its intercept."""
     chosen = label_sample(labels.where(~held_out(F.col("doc_id"))), "toxic", most, 5)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_or_shuffled(chosen, most), "doc_id").select("doc_id", "text", "label")
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").join(small_or_shuffled(chosen, most), "doc_id")
+    texts = texts.select(F.xxhash64("doc_id").alias("doc_id"), "text", "label")
     made = stored(texts.mapInArrow(examples, "doc_id long, label int, buckets array<int>"))
     rows = made.groupBy((F.col("label") < 0).alias("all")).applyInArrow(fit, "bucket int, weight double").collect()
     model = sorted((r["bucket"], r["weight"]) for r in rows if r["bucket"] >= 0)

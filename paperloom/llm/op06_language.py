@@ -37,7 +37,7 @@ HOST_WEIGHT, DOMAIN_WEIGHT = 10.0, 10.0
 TRUST_WEIGHT = 4.0
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|<[^>]*>", re.S | re.I)
-_MAIN = re.compile(r"<(article|main)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_MAIN = re.compile(r"<(?:article|main)\b(?:.*</(?:article|main)\s*>|.*\Z)", re.S | re.I)
 _LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([a-zA-Z]{2,3})""", re.I)
 
 
@@ -104,9 +104,11 @@ def evidence(langs: list[str], model: np.ndarray):
 
 
 def visible(page: str | None) -> str:
+    """The text from the first article or main element to the last one's end, or of the whole page if there is none."""
     page = page or ""
     main = _MAIN.search(page)
-    return _MARKUP.sub(" ", main.group(0) if main else page)
+    text = _MARKUP.sub(" ", main.group(0)) if main else ""
+    return text if text.strip() else _MARKUP.sub(" ", page)
 
 
 def named_language(url: str | None, host: str, langs: list[str]) -> str | None:

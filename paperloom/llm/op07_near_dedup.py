@@ -27,8 +27,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from .graph import components
@@ -45,7 +46,13 @@ CHUNK = 4096
 THRESHOLD = 85
 
 _RANDOM = np.random.Generator(np.random.PCG64(7)).integers(0, 2**32, (2, TREES * DEPTH), dtype=np.uint32) | np.uint32(1)
-SIGNATURE_SCHEMA = "doc_id long, n_shingles long, key_a long, key_b long, labels array<long>"
+SIGNATURE_SCHEMA = "doc_id {}, n_shingles long, key_a long, key_b long, labels array<long>"
+
+
+def doc_id_of(docs: DataFrame) -> tuple[Column, str]:
+    """The column doc_id of ``docs`` and its type: numbers as long, anything else as text."""
+    kind = "long" if isinstance(docs.schema["doc_id"].dataType, IntegralType) else "string"
+    return F.col("doc_id").cast(kind).alias("doc_id"), kind
 
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,13 +151,13 @@ def crowded_links(found: DataFrame, component: DataFrame, rows: int, sets: DataF
     asked = open_.where("component != main").select("node", "component", shallow, F.lit(True).alias("asks"), own.alias("query_block"), F.explode(each).alias("block"))
     held = open_.select("node", "component", shallow, F.lit(False).alias("asks"), F.explode(each).alias("query_block"), own.alias("block"))
     placed = asked.unionByName(held).join(sets, "node")
-    return placed.groupBy(shallow, "query_block", "block").applyInArrow(lambda rows: block_links(rows, threshold), "a long, b long").distinct()
+    return placed.groupBy(shallow, "query_block", "block").applyInArrow(lambda rows: block_links(rows, threshold), "a {0}, b {0}".format(placed.schema["node"].dataType.simpleString())).distinct()
 
 
 def block_links(rows: pa.Table, threshold: int) -> pa.Table:
     """For each class that asks and each other component here, one link if there is any."""
     asks = rows.column("asks").to_numpy(zero_copy_only=False)
-    node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+    node, component = (np.array(rows.column(c).to_pylist()) for c in ("node", "component"))
     lists = rows.column("shingles").combine_chunks()
     offs, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     sizes = np.diff(offs)
@@ -172,7 +179,8 @@ def block_links(rows: pa.Table, threshold: int) -> pa.Table:
             at = held[linked]
             for i in at[np.unique(component[at], return_index=True)[1]]:
                 found.append((min(node[q], node[i]), max(node[q], node[i])))
-    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+    kind = rows.schema.field("node").type
+    return pa.table({"a": pa.array([x for x, _ in found], kind), "b": pa.array([y for _, y in found], kind)})
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -189,8 +197,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) ->
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The full sets of ``nodes``, from the texts."""
     nodes = stored(nodes.distinct())
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_or_shuffled(nodes.withColumnRenamed("node", "doc_id"), nodes.count()), "doc_id", "left_semi")
-    return stored(chosen.mapInArrow(full_sets, "node long, shingles array<long>"))
+    doc_id, kind = doc_id_of(docs)
+    chosen = docs.select(doc_id, "text").join(small_or_shuffled(nodes.withColumnRenamed("node", "doc_id"), nodes.count()), "doc_id", "left_semi")
+    return stored(chosen.mapInArrow(full_sets, f"node {kind}, shingles array<long>"))
 
 
 def joined_with(links: DataFrame, component: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -204,7 +213,8 @@ def joined_with(links: DataFrame, component: DataFrame, more: DataFrame) -> tupl
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
-    signed = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(signatures, SIGNATURE_SCHEMA))
+    doc_id, kind = doc_id_of(docs)
+    signed = stored(docs.select(doc_id, "text").mapInArrow(signatures, SIGNATURE_SCHEMA.format(kind)))
     grouped = signed.where("n_shingles > 0").groupBy("key_a", "key_b", "n_shingles")
     classes = stored(grouped.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("labels").alias("labels")))
     found = regions(classes.where("node is not null"))

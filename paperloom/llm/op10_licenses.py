@@ -141,7 +141,7 @@ def train(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, dict[str, fl
     held = lines.where("held").select("family", F.col("grams").alias("line_grams")).withColumn("line", F.monotonically_increasing_id())
     unknown = predicted(held, weights, start).where(F.col("truth") == UNKNOWN)
     highest = unknown.where(F.col("family") != UNKNOWN).agg(F.max("probability")).first()[0] or 0.0
-    return weights, start, max(0.5, min(0.95, highest + 0.01))
+    return weights, start, max(0.5, highest + 1e-9)
 
 
 def predicted(lines: DataFrame, weights: DataFrame, start: dict[str, float]) -> DataFrame:

@@ -68,6 +68,39 @@ def test_odd_and_empty(odd_docs, no_docs, odd_labels, items, name):
     assert empty.count() == 0 and empty.columns == got.columns
 
 
+def test_text_ids(spark):
+    """doc_id may be text, which gives what numbers give."""
+    texts = [prose(1, 60), prose(1, 60), "one two", prose(2, 60) + " end", prose(2, 60)] + [prose(40 + i, 30) for i in range(6)]
+    docs = frame(spark, texts, 10)
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    labels = spark.createDataFrame([(10 + i, i % 2, i % 2) for i in range(11)], "doc_id long, quality int, toxic int")
+    of_named = labels.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    near = {r["doc_id"]: r["component_id"] for r in op07_near_dedup.near_duplicates(docs).collect()}
+    assert {r["doc_id"]: r["component_id"] for r in op07_near_dedup.near_duplicates(named).collect()} == {f"d{k}": f"d{v}" for k, v in near.items()}
+    assert near[11] == 10 and near[14] == 13 and near[12] == 12
+    for got in (op01_importance.importance(named, of_named), op05_toxicity.toxicity(named, of_named)):
+        assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == sorted(f"d{i}" for i in near)
+
+
+def test_ties_at_the_edge(spark):
+    """However many sums are equal at the k-th place, just k are drawn, and null ids get a verdict."""
+    docs = frame(spark, ["same words in all of them"] * 6000 + ["junk %% junk"] * 3).unionByName(frame(spark, [None]).withColumn("doc_id", F.lit(None).cast("long")))
+    found = docs.select("doc_id", F.lit(1.0).alias("key"))
+    edge, ties = op01_importance.kth_greatest(found, 5000)
+    by_hash = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(op01_importance.SEED + 1)), 11).cast("double")
+    last, _ = op01_importance.kth_greatest(found.select(by_hash.alias("key")), ties)
+    assert edge == 1.0 and ties == 5000 and found.where(by_hash >= last).count() == 5000
+    labels = spark.createDataFrame([(i, 1) for i in range(50)] + [(6000 + i, 0) for i in range(3)], "doc_id long, quality int")
+    assert op01_importance.importance(docs, labels).where("kept is null").count() == 0
+
+
+def test_visible_text():
+    """All articles of a page, nested ones too, are evidence of its language, and the whole page if they are empty."""
+    page = "<body><p>menu</p><article><h2>one</h2></article><article>two <article>three</article> four</article><footer>foot</footer></body>"
+    assert op06_language.visible(page).split() == ["one", "two", "three", "four"]
+    assert op06_language.visible("<body>all <article> </article></body>").split() == ["all"] and op06_language.visible(None) == ""
+
+
 def test_filters_keep_columns(odd_docs, no_docs, odd_labels, items):
     for stage in (
         lambda d: op01_importance.resampled(d, odd_labels),
