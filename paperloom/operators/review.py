@@ -110,10 +110,14 @@ def spec_items(problems: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(problems, problem_class)))
 
 
+# The reasons of blocks that tell none.
+NO_PROBLEM, NO_REASON = "L1 高优先", "L3 fail"
+
+
 def rework(queue: DataFrame, results: DataFrame) -> DataFrame:
     """Blocks to convert again: high ones of the queue, then failed ones of the review, each once with its reason."""
-    high = queue.where("verdict = 'high'").select(*KEY, F.lit(0).alias("rank"), "pos", F.coalesce(F.nullif(F.array_join("problems", "; "), F.lit("")), F.lit("L1")).alias("reason"))
-    fail = results.where("verdict = 'fail'").select(*KEY, F.lit(1).alias("rank"), "pos", F.coalesce(F.nullif(F.array_join(F.flatten("reasons"), "; "), F.lit("")), F.lit("L3")).alias("reason"))
+    high = queue.where("verdict = 'high'").select(*KEY, F.lit(0).alias("rank"), "pos", F.coalesce(F.nullif(F.array_join("problems", "; "), F.lit("")), F.lit(NO_PROBLEM)).alias("reason"))
+    fail = results.where("verdict = 'fail'").select(*KEY, F.lit(1).alias("rank"), "pos", F.coalesce(F.nullif(F.array_join(F.flatten("reasons"), "; "), F.lit("")), F.lit(NO_REASON)).alias("reason"))
     return first_wins(high.unionByName(fail), KEY, "rank", "pos").drop("rank")
 
 

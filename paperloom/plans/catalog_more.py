@@ -304,21 +304,22 @@ def stall_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- outside engines: stand-ins
 
 
-@query("parse_stub")
+@query("parse_stub", f"""WITH {V.MARKDOWN_SQL}, x AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM md)
+SELECT doc_id, CAST(i AS INTEGER) AS elem_no, 'text' AS type, l[i + 1] AS text, CAST(i // 40 AS INTEGER) AS page_idx FROM (SELECT doc_id, l, unnest(range(len(l))) AS i FROM x)""")
 def parse_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plugins.call("parse", V.markdown(spark, sf_dir).select("doc_id", "text"))
 
 
-@query("vision_stub")
+@query("vision_stub", f"WITH {V.MARKDOWN_SQL} SELECT doc_id, true AS ok, CASE WHEN regexp_matches(text, '\\S') THEN '清晰' ELSE '空白' END AS answer FROM md")
 def vision_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plugins.call("vision", V.markdown(spark, sf_dir).select("doc_id", "text"))
 
 
-@query("export_stub")
+@query("export_stub", f"""WITH {V.MARKDOWN_SQL} SELECT doc_id, 'html' AS format, CAST(strlen(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;')) + 11 AS BIGINT) AS n_bytes FROM md""")
 def export_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plugins.call("export", V.markdown(spark, sf_dir).select("doc_id", "text"))
 
 
-@query("repair_stub")
+@query("repair_stub", "SELECT doc_id, true AS ok, 'ok' AS message FROM documents")
 def repair_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plugins.call("repair", V.markdown(spark, sf_dir).select("doc_id"))
