@@ -55,7 +55,7 @@ HOT, TOP = 4, 8
 #: Bits of a context's hash beyond the number of training tokens: a context is taken for another with a chance of 2 ** -5 at most.
 SPARE_BITS = 6
 #: Slices in which chunks are scored.
-SLICES = 6
+SLICES = 3
 #: Words after which the weights are refined, and by how much.
 BLOCK, RATE = 64, 0.02
 #: Places of the table for byte contexts, its blocks while it is added up, and how many of them one task adds.
