@@ -6,11 +6,18 @@ Spark. ``slots`` bounds how many run at once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+#: What the cleaner's stand-in takes for a watermark.
+MARK = "lorem"
+
+T = TypeVar("T")
+
 REGISTRY: dict[str, tuple[Callable[[pd.DataFrame], pd.DataFrame], str]] = {}
 
 
@@ -22,6 +29,16 @@ def engine(name: str, schema: str):
     return add
 
 
+def with_retries(f: Callable[[], T], tries: int = 3, wait: float = 3.0, transient: tuple[type[Exception], ...] = (ConnectionError, TimeoutError), sleep: Callable[[float], None] = time.sleep) -> T:
+    """``f()``, again after ``wait``, twice ``wait`` and so on while it fails by what may pass; other errors end it at once."""
+    for attempt in range(1, tries):
+        try:
+            return f()
+        except transient:
+            sleep(wait * attempt)
+    return f()
+
+
 def call(name: str, rows: DataFrame, slots: int | None = None) -> DataFrame:
     f, schema = REGISTRY[name]
 
@@ -44,13 +61,36 @@ def vision_stub(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": rows["doc_id"], "ok": True, "answer": ["空白" if not (t or "").strip() else "清晰" for t in rows["text"]]})
 
 
-@engine("export", "doc_id long, format string, n_bytes long")
+# Formats of export.
+FORMATS = ("docx", "html", "epub", "pptx", "pdf")
+
+
+@engine("export", "doc_id long, format string, ok boolean, n_bytes long")
 def export_stub(rows: pd.DataFrame) -> pd.DataFrame:
+    """The text as preformatted markup, whatever the format; formats that are not known fail."""
     import html
 
-    return pd.DataFrame({"doc_id": rows["doc_id"], "format": "html", "n_bytes": [len(f"<pre>{html.escape(t or '')}</pre>".encode()) for t in rows["text"]]})
+    ok = rows["format"].isin(FORMATS)
+    n = [len(f"<pre>{html.escape(t or '')}</pre>".encode()) if good else None for t, good in zip(rows["text"], ok, strict=True)]
+    return pd.DataFrame({"doc_id": rows["doc_id"], "format": rows["format"], "ok": ok, "n_bytes": pd.array(n, "Int64")})
+
+
+# States of a file and what repairing it comes to.
+REPAIRS = {"fine": (True, "ok"), "empty_password": (True, "ok"), "password": (False, "human"), "damaged": (True, "recovered"), "broken": (False, "unrepairable")}
 
 
 @engine("repair", "doc_id long, ok boolean, message string")
 def repair_stub(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"doc_id": rows["doc_id"], "ok": True, "message": "ok"})
+    """Outcomes by (doc_id, state); a file that is not there (no state) fails as missing."""
+    found = [REPAIRS.get(s, (False, "missing")) for s in rows["state"]]
+    return pd.DataFrame({"doc_id": rows["doc_id"], "ok": [ok for ok, _ in found], "message": [m for _, m in found]})
+
+
+@engine("clean", "doc_id long, ok boolean, text string")
+def clean_stub(rows: pd.DataFrame) -> pd.DataFrame:
+    """An outside cleaner that drops lines of its mark; an empty result is a failure and leaves the text as it was."""
+    out = []
+    for d, t in zip(rows["doc_id"], rows["text"], strict=True):
+        kept = "\n".join(x for x in (t or "").split("\n") if MARK not in x)
+        out.append((d, True, kept) if kept.strip() else (d, False, t))
+    return pd.DataFrame(out, columns=["doc_id", "ok", "text"])

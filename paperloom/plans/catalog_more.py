@@ -315,11 +315,24 @@ def vision_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plugins.call("vision", V.markdown(spark, sf_dir).select("doc_id", "text"))
 
 
-@query("export_stub", f"""WITH {V.MARKDOWN_SQL} SELECT doc_id, 'html' AS format, CAST(strlen(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;')) + 11 AS BIGINT) AS n_bytes FROM md""")
+_FORMAT = "CASE doc_id % 6 WHEN 0 THEN 'docx' WHEN 1 THEN 'html' WHEN 2 THEN 'epub' WHEN 3 THEN 'pptx' WHEN 4 THEN 'pdf' ELSE 'rtf' END"
+
+
+@query("export_stub", f"""WITH {V.MARKDOWN_SQL} SELECT doc_id, {_FORMAT} AS format, doc_id % 6 <> 5 AS ok,
+CASE WHEN doc_id % 6 <> 5 THEN CAST(strlen(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;')) + 11 AS BIGINT) END AS n_bytes FROM md""")
 def export_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plugins.call("export", V.markdown(spark, sf_dir).select("doc_id", "text"))
+    return plugins.call("export", V.markdown(spark, sf_dir).select("doc_id", "text", F.expr(_FORMAT).alias("format")))
+
 
+_STATE = "CASE doc_id % 6 WHEN 0 THEN 'fine' WHEN 1 THEN 'empty_password' WHEN 2 THEN 'password' WHEN 3 THEN 'damaged' WHEN 4 THEN 'broken' END"
 
-@query("repair_stub", "SELECT doc_id, true AS ok, 'ok' AS message FROM documents")
+
+@query("repair_stub", "SELECT doc_id, doc_id % 6 IN (0, 1, 3) AS ok, CASE doc_id % 6 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'human' WHEN 3 THEN 'recovered' WHEN 4 THEN 'unrepairable' ELSE 'missing' END AS message FROM documents")
 def repair_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plugins.call("repair", V.markdown(spark, sf_dir).select("doc_id"))
+    return plugins.call("repair", V.markdown(spark, sf_dir).select("doc_id", F.expr(_STATE).alias("state")))
+
+
+@query("clean_stub", f"""WITH {V.MARKDOWN_SQL}, c AS (SELECT doc_id, text, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT contains(x, '{plugins.MARK}')), chr(10)) AS kept FROM md)
+SELECT doc_id, regexp_matches(kept, '\\S') AS ok, CASE WHEN regexp_matches(kept, '\\S') THEN kept ELSE text END AS text FROM c""")
+def clean_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plugins.call("clean", V.markdown(spark, sf_dir).select("doc_id", "text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK = "file string, kind string, start int, end int, pages int, src_rel_dir string, out_dir string, size_mb double, complex int, reason string"
@@ -36,3 +36,27 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 def documents_in(files: DataFrame, names: str = DOCUMENT_NAMES) -> DataFrame:
     """Source documents of a listing: known types outside output folders, each once, in path order."""
     return files.where(F.col("path").rlike(names) & ~F.col("path").rlike(r"_mineru(/|$)")).select("path", "bytes").distinct().orderBy("path")
+
+
+QUEUE = "count long, queue array<struct<file:string,start:int,end:int,verdict:string,problems:array<string>>>"
+RESULTS = "count long, results array<struct<block:struct<basename:string,file:string,start:int,end:int,out_dir:string,priority:string>,verdict:string,pages_reviewed:int,reasons:array<array<string>>>>"
+PROGRESS = "converted long, last_block_idx long, issues array<string>"
+
+
+def queue(texts_: DataFrame) -> DataFrame:
+    """Rows of review queues from their files' whole texts (value), with their place; broken files and rows give none."""
+    parsed = texts_.select(F.from_json("value", QUEUE).alias("f"))
+    return parsed.select(F.posexplode("f.queue").alias("pos", "q")).where("q is not null").select("pos", "q.*")
+
+
+def results(texts_: DataFrame) -> DataFrame:
+    """Results of the third level from their files' whole texts (value)."""
+    parsed = texts_.select(F.from_json("value", RESULTS).alias("f"))
+    return parsed.select(F.posexplode("f.results").alias("pos", "r")).where("r is not null").select("pos", "r.block.*", "r.verdict", "r.pages_reviewed", "r.reasons")
+
+
+def progress(text: Column) -> Column:
+    """Progress of a run from its file's text; the start of a run where it is missing, broken or no object."""
+    read = F.from_json(text, PROGRESS)
+    zero = F.lit(0).cast("long")
+    return F.struct(F.coalesce(read["converted"], zero).alias("converted"), F.coalesce(read["last_block_idx"], zero).alias("last_block_idx"), F.coalesce(read["issues"], F.array().cast("array<string>")).alias("issues"))

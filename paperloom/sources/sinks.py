@@ -26,3 +26,20 @@ def report_markdown(report: DataFrame) -> DataFrame:
     """One line of Markdown for each block that is not passed, and its place."""
     row = F.format_string("| %s | %d-%d | %s | %d |", F.col("file"), F.col("start"), F.col("end"), F.col("colour"), F.col("n_problems"))
     return report.where("colour != 'pass'").select("file", "start", row.alias("line")).orderBy("file", "start")
+
+
+def write_cleaned(cleaned: DataFrame, path: str, version: int, dry_run: bool = False) -> DataFrame:
+    """Cleaned texts (doc_id, clean_text, n_removed) as a new version, and what was removed: one row (docs, removed).
+
+    A dry run writes nothing and reports the same; the report of a real run is taken from what was written.
+    """
+    rows = cleaned if dry_run else cleaned.sparkSession.read.parquet(write_version(cleaned, path, version))
+    return rows.agg(F.count_if(F.col("n_removed") > 0).alias("docs"), F.coalesce(F.sum("n_removed"), F.lit(0)).alias("removed"))
+
+
+def json_envelope(rows: DataFrame, name: str) -> DataFrame:
+    """One text for each partition of ``rows`` (an object with ``count`` and the rows under ``name``): parts of a queue or
+    of results, so that no task holds all of them."""
+    part = F.spark_partition_id().alias("__part")
+    whole = F.struct(F.count("*").alias("count"), F.collect_list(F.struct(*rows.columns)).alias(name))
+    return rows.withColumn("__part", part).groupBy("__part").agg(F.to_json(whole).alias("value")).select("value")

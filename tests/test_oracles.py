@@ -2,7 +2,7 @@
 
 import pytest
 
-from paperloom.plans import catalog, catalog_more, registry  # noqa: F401
+from paperloom.plans import catalog, catalog_more, catalog_runs, registry  # noqa: F401
 
 from .helpers import canonical, connect
 
