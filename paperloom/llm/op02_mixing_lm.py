@@ -55,7 +55,7 @@ HOT, TOP = 4, 8
 #: Bits of a context's hash beyond the number of training tokens: a context is taken for another with a chance of 2 ** -5 at most.
 SPARE_BITS = 6
 #: Slices in which chunks are scored.
-SLICES = 3
+SLICES = 4
 #: Words after which the weights are refined, and by how much.
 BLOCK, RATE = 64, 0.02
 #: Places of the table for byte contexts, its blocks while it is added up, and how many of them one task adds.
@@ -584,13 +584,18 @@ ROWS_AT_ONCE = 128
 
 def refined(own: list[np.ndarray], row: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray], rows: int) -> np.ndarray:
     """Nats that the bits of each row take, given the stretched probabilities of what they are; ``own`` weights learn from them."""
-    cell = row * np.int32(GATES) + gate
-    z = own[0].take(cell) * inputs[0]
+    # Places are of the kind that numpy indexes by, so that they are converted once.
+    cell = row.astype(np.intp) * GATES
+    cell += gate
+    z = own[0].take(cell)
+    z *= inputs[0]
     for weight, x in zip(own[1:], inputs[1:], strict=True):
         z += weight.take(cell) * x
-    e = np.exp(np.clip(z, -12, 12) * np.float32(-1))
-    cost = np.log1p(e)
-    e /= e + np.float32(1)
+    np.clip(z, -12, 12, out=z)
+    e = np.exp(np.negative(z, out=z), out=z)
+    odds = e + np.float32(1)
+    cost = np.log(odds)
+    e /= odds
     scale = RATE / np.sqrt(np.maximum(np.bincount(cell, minlength=rows * GATES), 1))
     for weight, x in zip(own, inputs, strict=True):
         weight += scale * np.bincount(cell, e * x, minlength=rows * GATES)
@@ -738,8 +743,8 @@ def scores(docs: DataFrame) -> DataFrame:
         got = sent.groupBy("part").applyInArrow(lambda rows: answer(unpacked(shared.value), rows), "chunk bigint, part int, n bigint, states binary, n_words bigint, word_counts binary")
         return stored(got.withColumn("words", F.lit(order)))
 
-    # One after the other: the first exchange's files are gone when the second begins.
-    told_of = [answers_after(order) for order in (1, 2)]
+    # One after the other: the first exchange's files are gone when the second, smaller one begins.
+    told_of = [answers_after(order) for order in (2, 1)]
     answers = told_of[0].unionByName(told_of[1])
 
     def score(answers: pa.Table, chunk: pa.Table) -> pa.Table:
