@@ -14,10 +14,17 @@ EMBED_REF = r"!\[[^\]]*\]\(images/([^)\s]+)\)"
 UNSAFE = r'[<>:"/\\|?*]'
 
 
+#: White space, as ranges of a pattern's class.
+SPACES = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def norm(text: Column) -> Column:
-    """The key of a line: lower case, without white space and punctuation."""
+    """The key of a line: lower case, without white space and punctuation.
+
+    Letters and digits are passed over by a first look, so the long class is tried on what is likely in it.
+    """
     escaped = "".join("\\" + c if c in r".()[]-+*?!" else c for c in PUNCTUATION)
-    return F.lower(F.regexp_replace(F.regexp_replace(text, "[\u3000\ufeff]", ""), f"(?U)[\\s{escaped}]", ""))
+    return F.lower(F.regexp_replace(text, f"(?![a-zA-Z0-9\xc0-\u024f\u4e00-\u9fff])[{SPACES}\ufeff{escaped}]", ""))
 
 
 def strip(text: Column) -> Column:

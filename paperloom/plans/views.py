@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
+from paperloom.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 #: A document's Markdown; the expression means the same in both dialects.
@@ -72,7 +73,9 @@ PAGES_SQL = f"pages_ AS (SELECT doc_id, CAST(floor(doc_id / 25.0) AS BIGINT) AS
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of pages as elements: the first a header, the last a footer, some aside; boxes by place on the page."""
     made = book_pages(spark, sf_dir).withColumn("lines", T.lines(F.col("text")))
-    each = made.select("doc_id", "book_id", "page_idx", F.size("lines").alias("n"), F.posexplode("lines").alias("pos", "text"))
+    # The number of lines goes along with each line, or the optimizer would keep the whole array beside it to count.
+    numbered = F.transform("lines", lambda x, i: F.struct(i.alias("pos"), x.alias("text"), F.size("lines").alias("n")))
+    each = made.select("doc_id", "book_id", "page_idx", F.explode(numbered).alias("l")).select("doc_id", "book_id", "page_idx", "l.n", "l.pos", "l.text")
     kind = F.when(F.col("pos") == 0, "header").when(F.col("pos") == F.col("n") - 1, "footer").when((F.col("pos") % 5 == 2) & (F.length("text") <= 60), "aside_text").otherwise("text")
     return each.select("doc_id", "book_id", "page_idx", F.col("pos").alias("elem_no"), "text", kind.alias("type"), (1000.0 * F.col("pos") / F.col("n")).alias("y0"), (1000.0 * (F.col("pos") + 1) / F.col("n")).alias("y1"), F.lit(1000.0).alias("height"))
 

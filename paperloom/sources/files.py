@@ -43,6 +43,18 @@ RESULTS = "count long, results array<struct<block:struct<basename:string,file:st
 PROGRESS = "converted long, last_block_idx long, issues array<string>"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` of a table, dealt out to all cores if it lies in fewer files and pieces than there are cores.
+
+    A row group is read by one task, so all that follows on a table of one row group would run in one. A table of many pieces is
+    left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if len(rows.inputFiles()) < cores and rows.rdd.getNumPartitions() <= cores:
+        return rows.repartition(cores)
+    return rows
+
+
 def queue(texts_: DataFrame) -> DataFrame:
     """Rows of review queues from their files' whole texts (value), with their place; broken files and rows give none."""
     parsed = texts_.select(F.from_json("value", QUEUE).alias("f"))
