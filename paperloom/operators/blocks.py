@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from paperloom.functions import text as T
+from paperloom.operators.packing import DAY_BUDGET, day_plan, page_budget  # noqa: F401
 
 KEY = ("file", "start", "end")
 DOCUMENT_KINDS = {".pdf": "PDF", ".doc": "DOC", ".docx": "DOC", ".ppt": "PPT", ".pptx": "PPT", ".html": "HTML", ".htm": "HTML"}
-MAX_PAGES, COMPLEX, DAY_BUDGET, BATCH = 200, 3, 5000, 50
+MAX_PAGES, COMPLEX, BATCH = 200, 3, 50
 
 
 def first_wins(rows: DataFrame, key: tuple[str, ...], *order: Column | str) -> DataFrame:
@@ -97,59 +94,3 @@ def slice_name(index: Column, name: Column, start: Column, end: Column) -> Colum
 def member_is_safe(path: Column) -> Column:
     """An archive member that stays inside: not absolute, without drive and without a part '..'."""
     return ~(path.startswith("/") | path.startswith("\\") | path.rlike(r"^[A-Za-z]:") | F.array_contains(F.split(path, r"[/\\]"), ".."))
-
-
-def folded(blocks: DataFrame, group: str, names: list[str], step: Callable[[int, int], tuple[int, int | None]], start: int, value: str) -> DataFrame:
-    """The blocks of each ``group`` in order of ``names``, with what ``step`` makes of the running number and a block's pages:
-    the next number and the ``value``; blocks whose value is null go.
-
-    Each depends on those before it, so a queue's blocks are gone through once, in one place, a few numbers at a time; queues
-    are independent, and only the columns in ``names`` of one queue are held.
-    """
-    kept = [group, *(n for n in names if n != group)]
-    schema = ", ".join(f"{n} {blocks.schema[n].dataType.simpleString()}" for n in kept) + f", {value} long"
-
-    def go(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(n, "ascending") for n in names])
-        now, found = start, []
-        for pages in rows.column("pages").to_pylist():
-            now, x = step(now, pages or 0)
-            found.append(x)
-        rows = rows.append_column(value, pa.array(found, pa.int64()))
-        return rows.filter(pc.is_valid(rows.column(value)))
-
-    return blocks.select(*kept).groupBy(group).applyInArrow(go, schema)
-
-
-def page_budget(blocks: DataFrame, group: str, *order: str, budget: int = DAY_BUDGET, skip_done: bool = False) -> DataFrame:
-    """First fit with skips: in order, a block is taken if the pages taken so far leave room for it; ``used`` are the pages
-    taken of its group.
-
-    ``skip_done``: done blocks are left out beforehand; else they use up budget like others.
-    """
-    rows = blocks.where(~F.col("done")) if skip_done else blocks
-    names = [*dict.fromkeys([*order, "file", "start", "end", "pages"])]
-
-    def take(used: int, pages: int) -> tuple[int, int | None]:
-        return (used + pages, pages) if used + pages <= budget else (used, None)
-
-    taken = folded(rows, group, names, take, 0, "taken")
-    used = F.sum("taken").over(Window.partitionBy(group)).alias("used")
-    return taken.select(group, used, *names)
-
-
-def day_plan(blocks: DataFrame, group: str, *order: str, budget: int = DAY_BUDGET) -> DataFrame:
-    """Next fit: a block that does not fit opens a new day; a block over the budget gets a day of its own."""
-    names = [*dict.fromkeys([*order, "file", "start", "end", "pages"])]
-
-    # The running number is the day and the pages used in it, as one: no day has more pages than ``far``.
-    far = 1 << 32
-
-    def put(now: int, pages: int) -> tuple[int, int | None]:
-        day, used = divmod(now, far)
-        if used and used + pages > budget:
-            day, used = day + 1, 0
-        return day * far + used + pages, day
-
-    found = folded(blocks, group, names, put, far, "day")
-    return found.select(group, *names, F.col("day").cast("int").alias("day"))

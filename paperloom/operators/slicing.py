@@ -21,21 +21,32 @@ def chapter_cuts(total: Column, candidates: Column, most: int) -> Column:
     if most < 2:
         raise ValueError("a range needs two pages at least")
     valid = F.array_sort(F.array_distinct(F.filter(candidates, lambda c: (c > 1) & (c <= total))))
-    ranges = "array<struct<start:int,end:int>>"
-    zero = F.struct(F.lit(1).alias("at"), F.array().cast(ranges).alias("out"))
-
-    def cut(a: Column, _: Column) -> Column:
-        reach = a["at"] + most - 1
-        last = reach >= total
-        to = F.coalesce(F.array_max(F.filter(valid, lambda c: (c > a["at"]) & (c <= reach))), reach)
-        end = F.when(last, total).otherwise(to - 1)
-        more = F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), end.cast("int").alias("end"))))
-        done = a["at"] > total
-        return F.struct(F.when(done, a["at"]).otherwise(end + 1).cast("int").alias("at"), F.when(done, a["out"]).otherwise(more).alias("out"))
-
-    # Each round cuts at least one page, and away from crowded candidates about ``most``.
-    rounds = F.sequence(F.lit(1), total)
-    return F.when(F.size(valid) > 0, F.aggregate(rounds, zero, cut, lambda a: a["out"]))
+    # From ``at`` on, ``best`` is the farthest candidate in reach so far; a candidate beyond the reach cuts there, and then hard
+    # until it is in reach itself. So each candidate is looked at once and only cuts are visited, however many pages there are.
+    ints = "array<int>"
+    start = F.struct(F.lit(1).alias("at"), F.lit(None).cast("int").alias("best"), F.array(F.lit(1)).cast(ints).alias("cuts"))
+
+    def hard(at: Column, to: Column) -> Column:
+        """How many cuts of the full reach come before ``to`` is in reach of one."""
+        return F.greatest(F.ceil((to - at - (most - 1)) / (most - 1)), F.lit(0)).cast("int")
+
+    def moved(a: Column, to: Column, kept: Column) -> Column:
+        at = F.coalesce(a["best"], a["at"])
+        n = hard(at, to)
+        chapter = F.when(a["best"].isNotNull(), F.array(a["best"])).otherwise(F.array().cast(ints))
+        steps = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda k: (at + k * (most - 1)).cast("int"))).otherwise(F.array().cast(ints))
+        return F.struct((at + n * (most - 1)).cast("int").alias("at"), kept.cast("int").alias("best"), F.concat(a["cuts"], chapter, steps).alias("cuts"))
+
+    def put(a: Column, c: Column) -> Column:
+        near = F.struct(a["at"].alias("at"), c.cast("int").alias("best"), a["cuts"].alias("cuts"))
+        return F.when(c <= a["at"] + most - 1, near).otherwise(moved(a, c, c))
+
+    def ranges(a: Column) -> Column:
+        cuts = F.when(a["at"] + most - 1 < total, moved(a, total, F.lit(None))["cuts"]).otherwise(a["cuts"])
+        end = lambda i: F.coalesce(F.get(cuts, i + 1) - 1, total).cast("int")
+        return F.transform(cuts, lambda s, i: F.struct(s.alias("start"), end(i).alias("end")))
+
+    return F.when(F.size(valid) > 0, F.aggregate(valid, start, put, ranges))
 
 
 def routed_cuts(total: Column, toc1: Column, toc2: Column, headings: Column, most: int = MAX_PAGES) -> Column:

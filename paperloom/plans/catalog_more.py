@@ -132,6 +132,33 @@ def budget_pack_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.page_budget(_queue(spark, sf_dir), "queue", "pos", "price", budget=300, skip_done=True).select("queue", "file", "pages")
 
 
+_WHOLE = """placed AS (SELECT l_orderkey AS pos, l_extendedprice AS price, CAST(l_partkey AS VARCHAR) AS file, CAST(l_suppkey AS INT) AS start, l_linenumber AS "end", CAST(l_quantity AS INT) AS pages,
+  row_number() OVER (ORDER BY l_orderkey, l_extendedprice, CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS INT), l_linenumber, CAST(l_quantity AS INT)) AS i FROM lineitem)"""
+
+
+def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order lines as one queue."""
+    items = V.table(spark, sf_dir, "lineitem")
+    return items.select(F.lit(1).alias("queue"), F.col("l_orderkey").alias("pos"), F.col("l_extendedprice").alias("price"), F.col("l_partkey").cast("string").alias("file"), F.col("l_suppkey").cast("int").alias("start"), F.col("l_linenumber").alias("end"), F.col("l_quantity").cast("int").alias("pages"))
+
+
+@query("day_pack_whole", f"""WITH RECURSIVE {_WHOLE},
+summed AS (SELECT *, sum(pages) OVER (ORDER BY i) AS through FROM placed),
+jumps AS (SELECT *, count(*) OVER (ORDER BY through - pages RANGE BETWEEN UNBOUNDED PRECEDING AND 5000 FOLLOWING) AS next FROM summed),
+walk(day, i) AS (SELECT 1, CAST(1 AS BIGINT) UNION ALL SELECT w.day + 1, j.next FROM walk w JOIN jumps j ON j.i = w.i JOIN summed n ON n.i = j.next AND n.through > j.through - j.pages + 5000)
+SELECT p.pos, p.file, p.start, p."end", p.pages, CAST(max(w.day) OVER (ORDER BY p.i) AS INT) AS day FROM placed p LEFT JOIN walk w USING (i)""")
+def day_pack_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.day_plan(_whole(spark, sf_dir), "queue", "pos", "price").select("pos", "file", "start", "end", "pages", "day")
+
+
+@query("budget_pack_whole", f"""WITH RECURSIVE {_WHOLE},
+walk(i, used) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT) UNION ALL
+  SELECT p.i, w.used + p.pages FROM walk w, LATERAL (SELECT i, pages FROM placed p WHERE p.i > w.i AND p.pages <= 5000 - w.used ORDER BY i LIMIT 1) p)
+SELECT p.pos, p.file, p.start, p."end", p.pages, (SELECT max(used) FROM walk) AS used FROM placed p JOIN walk w USING (i)""")
+def budget_pack_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.page_budget(_whole(spark, sf_dir), "queue", "pos", "price").select("pos", "file", "start", "end", "pages", "used")
+
+
 @query("upload_batches", """WITH t AS (SELECT l_orderkey % 100 AS day, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey % 100 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS place FROM lineitem)
 SELECT day, place, CAST(floor(place / 50) AS BIGINT) AS batch, 'd' || day || 'b' || place AS data_id, printf('d%03d_%s_p%d-%d.pdf', day, CAST(l_orderkey AS VARCHAR), l_linenumber, l_linenumber + 9) AS slice FROM t""")
 def upload_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
