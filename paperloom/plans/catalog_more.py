@@ -9,7 +9,7 @@ from paperloom.functions import text as T
 from paperloom.operators import assembly, blocks, inventory, plugins, slicing
 from paperloom.plans import views as V
 from paperloom.plans.registry import query
-from paperloom.streaming import state
+from paperloom.streaming import state, timed
 
 MOST = 20
 
@@ -328,6 +328,24 @@ def stall_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("user_id", F.unix_timestamp("started").alias("started"), "events")
 
 
+@query("poll_give_up", """WITH t AS (SELECT user_id, date_trunc('millisecond', min(ts)) AS submitted FROM events GROUP BY user_id),
+a AS (SELECT user_id, date_trunc('millisecond', ts) AS ts, CASE event_type WHEN 'error' THEN 'failed' ELSE 'done' END AS state FROM events WHERE event_type IN ('error', 'purchase')),
+m AS (SELECT t.user_id, t.submitted, min(struct_pack(ts := a.ts, state := a.state)) AS b FROM t LEFT JOIN a ON t.user_id = a.user_id AND a.ts >= t.submitted AND a.ts <= t.submitted + INTERVAL 7200 SECOND GROUP BY ALL)
+SELECT CAST(user_id AS VARCHAR) AS data_id, coalesce(b.state, 'gave_up') AS state, epoch_ms(coalesce(b.ts, submitted + INTERVAL 7200 SECOND)) AS at FROM m""")
+def poll_give_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = V.table(spark, sf_dir, "events").withColumn("data_id", F.col("user_id").cast("string"))
+    state_ = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "done").otherwise("running")
+    told = timed.poll_batch(events.select("data_id", "ts"), events.select("data_id", state_.alias("state"), "ts"))
+    return told.select("data_id", "state", F.unix_millis("ts").alias("at"))
+
+
+@query("stalls", """WITH t AS (SELECT DISTINCT user_id, date_trunc('millisecond', ts) AS ts FROM events),
+n AS (SELECT user_id, ts, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts), (SELECT max(ts) FROM t)) AS next FROM t)
+SELECT user_id, epoch_ms(ts) AS quiet_since FROM n WHERE next >= ts + INTERVAL 900 SECOND""")
+def stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed.stalls_batch(V.table(spark, sf_dir, "events")).select("user_id", F.unix_millis("quiet_since").alias("quiet_since"))
+
+
 # ---- outside engines: stand-ins
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TERMINAL = ("done", "failed")
@@ -30,18 +30,51 @@ def sessions(events: DataFrame, gap: str = "15 minutes", late: str | None = None
     return rows.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("events")).select("user_id", F.col("w.start").alias("started"), "events")
 
 
+#: Parts of the index of a sink's keys.
+BUCKETS = 64
+
+
+def known_keys(batch: DataFrame, number: int, path: str, key: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Keys that batches before ``number`` wrote, of the buckets that the keys of ``batch`` fall in: ``buckets`` numbers at most
+    pass the driver."""
+    touched = [r["_bucket"] for r in batch.select(_bucket(key, buckets)).distinct().collect()]
+    schema = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in key)
+    index = batch.sparkSession.read.schema(f"{schema}, _batch long, _bucket int").parquet(f"{path}/_index")
+    return index.where((F.col("_batch") < number) & F.col("_bucket").isin(touched)).select(*key)
+
+
+def append_once(batch: DataFrame, number: int, path: str, key: list[str], buckets: int = BUCKETS) -> None:
+    """Write the rows of micro-batch ``number`` whose ``key`` no earlier batch wrote.
+
+    Rows go to ``_batch=number``, keys to an index by batch and bucket with a Bloom filter in each file. Only the buckets that the
+    batch's keys fall in are read, and never the rows. A batch that is played again, wherever it broke off, replaces its own part
+    of both and overlooks that part of the index, so it writes the same.
+    """
+    once = batch.dropDuplicates(key)
+    if number and _exists(batch.sparkSession, f"{path}/_index"):
+        known = known_keys(batch, number, path, key, buckets).select(*[F.col(k).alias(f"__{k}") for k in key])
+        once = once.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key], "left_anti")
+    once.write.mode("overwrite").parquet(f"{path}/_batch={number}")
+    writer = _written(batch, number, path).select(*key, _bucket(key, buckets)).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket")
+    for k in key:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+    writer.parquet(f"{path}/_index/_batch={number}")
+
+
+def _bucket(key: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("_bucket")
+
+
+def _written(batch: DataFrame, number: int, path: str) -> DataFrame:
+    return batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/_batch={number}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def resumable_sink(results: DataFrame, path: str, checkpoint: str, key: list[str]):
     """Starts a query that appends rows whose ``key`` the sink does not have yet; restarts continue at the checkpoint."""
-
-    def append(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            known = spark.read.parquet(path).select(*key)
-        except Exception as missing:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            known = None
-        once = batch.dropDuplicates(key)
-        (once if known is None else once.join(known, key, "left_anti")).write.mode("append").parquet(path)
-
-    return results.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    once = lambda batch, number: append_once(batch, number, path, key)
+    return results.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
