@@ -22,11 +22,16 @@ def first_wins(rows: DataFrame, key: tuple[str, ...], *order: Column | str) -> D
     return best.select(*key, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
-def load(complex_blocks: DataFrame, normal_blocks: DataFrame, scope: str = "all") -> DataFrame:
-    """Blocks of a plan by scope; complex ones come first and win over equal normal ones. Rows carry ``pos``."""
+def load(complex_blocks: DataFrame, normal_blocks: DataFrame, scope: str = "all", some: bool = False) -> DataFrame:
+    """Blocks of a plan by scope; complex ones come first and win over equal normal ones. Rows carry ``pos``.
+
+    ``some``: a plan without any block of the scope is an error; this looks at one row.
+    """
     parts = {"complex": [(0, complex_blocks)], "normal": [(1, normal_blocks)], "all": [(0, complex_blocks), (1, normal_blocks)]}[scope]
     ranked = [df.withColumn("list_rank", F.lit(rank)) for rank, df in parts]
     every = ranked[0] if len(ranked) == 1 else ranked[0].unionByName(ranked[1])
+    if some and every.isEmpty():
+        raise ValueError(f"no blocks of scope {scope}")
     return first_wins(every, KEY, "list_rank", "pos")
 
 
@@ -87,6 +92,16 @@ def batches(blocks: DataFrame, group: str, *order: str, size: int = BATCH) -> Da
     return made.withColumns({"batch": F.floor(F.col("place") / size).cast("long"), "data_id": F.concat(F.lit("d"), F.col(group).cast("string"), F.lit("b"), F.col("place").cast("string"))})
 
 
+def zipped(left: DataFrame, right: DataFrame, group: str, order_left: list[str], order_right: list[str]) -> DataFrame:
+    """Rows of both lists of a group, paired by their place; what is left over of the longer one goes.
+
+    Tasks and the addresses a service answers with agree by place alone. The column ``place`` counts from 0.
+    """
+    place = lambda order: (F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1).cast("long")
+    first, second = left.withColumn("place", place(order_left)), right.withColumn("place", place(order_right))
+    return first.join(second, [group, "place"])
+
+
 def slice_name(index: Column, name: Column, start: Column, end: Column) -> Column:
     return F.format_string("d%03d_%s_p%d-%d.pdf", index, name, start, end)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from paperloom.functions import text as T
 
@@ -96,9 +97,21 @@ def missing_images(docs: DataFrame, files: DataFrame, most: int = 10) -> DataFra
     """(doc_id, pos, ref) of references in ``docs`` to files that are not in ``files`` (doc_id, ref), the first ``most``."""
     refs = docs.select("doc_id", F.posexplode(T.image_refs(F.col("text"))).alias("pos", "ref")).where(~F.col("ref").startswith("http"))
     lost = refs.join(files.select("doc_id", "ref").distinct(), ["doc_id", "ref"], "left_anti")
-    # A document's first few: partial top-k, no window over its references.
-    first = lost.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "ref"))), 1, most).alias("refs"))
-    return first.select("doc_id", F.inline("refs"))
+    return first_of(lost, "doc_id", most, "pos", "ref").select("doc_id", "pos", "ref")
+
+
+def first_of(rows: DataFrame, group: str, most: int, *order: str, ties: bool = False) -> DataFrame:
+    """The first ``most`` rows of each group, or with ``ties`` the rows of its first so many different places.
+
+    A rank under a constant bound: each task drops what is beyond it before the exchange, so a hot group sends ``most`` rows a task.
+    """
+    rank = F.dense_rank() if ties else F.row_number()
+    return rows.withColumn("__place", rank.over(Window.partitionBy(group).orderBy(*order))).where(F.col("__place") <= most).drop("__place")
+
+
+def content_pages(elements: DataFrame) -> DataFrame:
+    """(doc_id, content_pages): pages up to the last one with an element; an element without a page lies on the first."""
+    return elements.groupBy("doc_id").agg((F.max(F.coalesce("page_idx", F.lit(0))) + 1).cast("int").alias("content_pages"))
 
 
 def page_count(blocks: DataFrame) -> DataFrame:

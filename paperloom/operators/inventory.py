@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
+from paperloom.operators.gates import first_of
 
 CATEGORIES = ("images", "notes", "json", "pdf", "slices")
 IMAGE_TYPES = ("png", "jpg", "jpeg", "gif", "bmp", "webp")
@@ -42,9 +43,13 @@ def deletions(files: DataFrame, scope: str = "all") -> DataFrame:
 
 
 def ready_folders(docs: DataFrame, show: int = 5) -> DataFrame:
-    """(folder, n_docs, n_missing, first_missing, ready) of documents (folder, name, done)."""
-    missing = F.slice(F.array_sort(F.collect_set(F.when(~F.col("done"), F.col("name")))), 1, show)
-    return docs.groupBy("folder").agg(F.count("*").alias("n_docs"), F.count_if(~F.col("done")).alias("n_missing"), F.array_join(missing, ",").alias("first_missing"), F.bool_and("done").alias("ready"))
+    """(folder, n_docs, n_missing, first_missing, ready) of documents (folder, name, done); names are cut to the first few before
+    they are gathered."""
+    few = first_of(docs.where(~F.col("done") & F.col("name").isNotNull()), "folder", show, "name", ties=True)
+    named = few.groupBy("folder").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("first_missing")).withColumnRenamed("folder", "__folder")
+    counts = docs.groupBy("folder").agg(F.count("*").alias("n_docs"), F.count_if(~F.col("done")).alias("n_missing"), F.bool_and("done").alias("ready"))
+    joined = counts.join(named, F.col("folder").eqNullSafe(F.col("__folder")), "left")
+    return joined.select("folder", "n_docs", "n_missing", F.coalesce("first_missing", F.lit("")).alias("first_missing"), "ready")
 
 
 def image_files(paths: DataFrame) -> DataFrame:
@@ -93,3 +98,14 @@ def find_artifact(files: DataFrame, patterns: tuple[str, ...], exclude: str | No
 
 CONTENT_LIST = (r"_content_list\.json$", r"\.content_list\.json$", r"^content_list\.json$")
 ORIGIN_PDF = (r"_origin\.pdf$", r"^origin\.pdf$")
+
+
+def origin_pdfs(files: DataFrame) -> DataFrame:
+    """(out_dir, content_list, origin): for each content list (out_dir, path) the original PDF of its own batch, told by the name
+    without its ending; else the first by name of those in its folder; else null."""
+    named = files.where(~F.contains("path", F.lit("/")))
+    lists = named.where(F.col("path").rlike(CONTENT_LIST[0])).select("out_dir", F.col("path").alias("content_list"), F.regexp_replace("path", CONTENT_LIST[0], "").alias("batch"))
+    pdfs = named.where(F.col("path").rlike(ORIGIN_PDF[0])).select("out_dir", "path", F.regexp_replace("path", ORIGIN_PDF[0], "").alias("batch"))
+    own = pdfs.select("out_dir", "batch", F.col("path").alias("own")).distinct()
+    any_ = pdfs.groupBy("out_dir").agg(F.min("path").alias("any"))
+    return lists.join(own, ["out_dir", "batch"], "left").join(any_, "out_dir", "left").select("out_dir", "content_list", F.coalesce("own", "any").alias("origin"))

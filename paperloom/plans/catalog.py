@@ -9,6 +9,7 @@ from paperloom.functions import text as T
 from paperloom.operators import blocks, cleaning, gates, inventory, review, slicing
 from paperloom.plans import views as V
 from paperloom.plans.registry import query
+from paperloom.sources import sinks
 
 # ---- scans and blocks
 
@@ -368,3 +369,33 @@ def tri_color_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("report_summary", f"WITH {REPORT_SQL} SELECT kind, colour, count(*) AS n FROM coloured GROUP BY ROLLUP (kind, colour)")
 def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).rollup("kind", "colour").agg(F.count("*").alias("n"))
+
+
+@query("content_pages", f"WITH {V.ELEMENTS_SQL} SELECT book_id AS doc_id, CAST(max(page_idx) + 1 AS INT) AS content_pages FROM elements GROUP BY book_id")
+def content_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.content_pages(V.elements(spark, sf_dir).select(F.col("book_id").alias("doc_id"), "page_idx"))
+
+
+@query("report_lines", f"""WITH {REPORT_SQL}, r AS (SELECT c.*, regexp_extract(file, '[^/]+$') AS basename, b.start, b."end", b.doc_id, q.issues FROM coloured c JOIN blocks b USING (file) LEFT JOIN issues_ q ON q.doc_id = b.doc_id),
+f AS (SELECT *, ['- **' || basename || '** p' || start || '-' || "end" || ' [' || kind || ']']
+  || CASE WHEN coalesce(issues, '') <> '' THEN list_transform(string_split(issues, ';'), lambda p: '  - ' || p) ELSE [] END
+  || CASE WHEN n_l2_issues > 0 THEN ['  - L2: a; b'] ELSE [] END
+  || CASE WHEN l3_verdict IS NOT NULL THEN ['  - L3: ' || l3_verdict || ' - ' || CASE WHEN doc_id % 2 = 0 THEN 'r1; r2; r3; r4; r5' ELSE '' END] ELSE [] END AS lines FROM r WHERE colour = 'fail'),
+n AS (SELECT count(*) FILTER (WHERE colour = 'pass') AS p, count(*) FILTER (WHERE colour = 'fail') AS x, count(*) FILTER (WHERE colour = 'review') AS v FROM r),
+h AS (SELECT ['{sinks.REPORT_TITLE}', '', '## 总览（三色）', '', '| 分类 | 数量 | 含义 |', '|---|---|---|', replace('{sinks.REPORT_HEADS["pass"]}', '{{}}', CAST(p AS VARCHAR)), replace('{sinks.REPORT_HEADS["fail"]}', '{{}}', CAST(x AS VARCHAR)), replace('{sinks.REPORT_HEADS["review"]}', '{{}}', CAST(v AS VARCHAR)), ''] || CASE WHEN x > 0 THEN ['{sinks.REPORT_FAIL}', ''] ELSE [] END AS top, CASE WHEN v > 0 THEN ['{sinks.REPORT_REVIEW}', '', '共 ' || v || ' 块', ''] ELSE [] END AS low FROM n)
+SELECT 0 AS section, NULL AS basename, NULL AS start, NULL AS "end", CAST(generate_subscripts(top, 1) - 1 AS INT) AS no, unnest(top) AS line FROM h
+UNION ALL SELECT 1, basename, start, "end", CAST(generate_subscripts(lines, 1) - 1 AS INT), unnest(lines) FROM f
+UNION ALL SELECT 2, NULL, NULL, NULL, CAST(generate_subscripts(low, 1) - 1 AS INT), unnest(low) FROM h""")
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = V.blocks(spark, sf_dir).select(*blocks.KEY, "doc_id")
+    issues = gates.lint(V.markdown(spark, sf_dir)).select("doc_id", "issues")
+    none = F.array().cast("array<string>")
+    report = _report(spark, sf_dir).join(rows, list(blocks.KEY)).join(issues, "doc_id")
+    made = report.select(
+        *[T.basename(F.col("file")).alias("basename"), "start", "end", "kind", "colour", "l3_verdict"],
+        F.when(F.col("issues") != "", F.split("issues", ";")).otherwise(none).alias("problems"),
+        F.when(F.col("doc_id") % 6 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(none).alias("l2_issues"),
+        F.when(F.col("doc_id") % 2 == 0, F.array(*[F.lit(f"r{i}") for i in range(1, 8)])).otherwise(none).alias("l3_reasons"),
+        none.alias("spec_items"),
+    )
+    return sinks.report_markdown(made)

@@ -175,6 +175,17 @@ def upload_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.select("user_id", F.inline(F.arrays_zip("task", "url")))
 
 
+@query("upload_pairs", """WITH t AS (SELECT l_suppkey % 40 AS batch, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey % 40 ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS place FROM lineitem),
+u AS (SELECT o_custkey % 40 AS batch, o_orderkey, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) - 1 AS place FROM orders)
+SELECT batch, place, l_orderkey, l_linenumber, 'u' || o_orderkey AS url FROM t JOIN u USING (batch, place)""")
+def upload_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as tasks and orders as the addresses for them: two tables that agree by place alone."""
+    tasks = V.table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 40).alias("batch"), "l_orderkey", "l_linenumber", "l_partkey")
+    urls = V.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("batch"), "o_orderkey")
+    pairs = blocks.zipped(tasks, urls, "batch", ["l_orderkey", "l_linenumber", "l_partkey"], ["o_orderkey"])
+    return pairs.select("batch", "place", "l_orderkey", "l_linenumber", F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("url"))
+
+
 # ---- assembling
 
 
@@ -202,6 +213,35 @@ def embed_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embedded(spark, sf_dir)
 
 
+_DOC_DIR = "'b' || (doc_id % 9) || CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN '/p1-9' ELSE '/p1-9/x' END"
+_NOTE_DIR = "'b' || (item_id % 9) || CASE item_id % 4 WHEN 0 THEN '' WHEN 1 THEN '/p1-9' WHEN 2 THEN '/p1-9/x' ELSE '/p1-9/x/y' END"
+
+
+@query("embed_notes_folders", rf"""WITH {V.MARKDOWN_SQL},
+refs AS (SELECT doc_id, text, {_DOC_DIR} AS dir, CASE WHEN doc_id % 5 = 0 THEN '![fig](images/' || (doc_id % 60) || '.png)' END AS ref, CAST(doc_id % 60 % 4 AS VARCHAR) AS stem FROM (SELECT doc_id, replace(text, '![fig](images/' || (doc_id % 60) || '.png)', '![fig](images/' || (doc_id % 60 % 4) || '.png)') AS text FROM md)),
+notes AS (SELECT {_NOTE_DIR} AS at, CAST(item_id % 4 AS VARCHAR) AS stem, min('# ' || (item_id % 4) || chr(10) || text) AS body FROM benchmark GROUP BY ALL),
+c AS (SELECT r.doc_id, chr(10) || chr(10) || '## 插图笔记' || chr(10) || chr(10) || {V.sql_strip("regexp_replace(n.body, '^# [^' || chr(10) || ']*' || chr(10) || '?', '')")} || chr(10) AS note,
+  row_number() OVER (PARTITION BY r.doc_id ORDER BY CASE WHEN n.at = r.dir THEN 0 WHEN starts_with(r.dir, n.at || '/') THEN len(string_split(r.dir, '/')) - len(string_split(n.at, '/')) ELSE 6 END, n.at) AS k
+  FROM refs r JOIN notes n USING (stem) WHERE r.ref IS NOT NULL AND (n.at = r.dir OR starts_with(r.dir, n.at || '/') OR starts_with(n.at, r.dir || '/')))
+SELECT r.doc_id, CASE WHEN c.note IS NULL THEN r.text ELSE replace(r.text, '![fig](images/' || r.stem || '.png)', c.note) END AS text, CAST(r.ref IS NOT NULL AND c.note IS NOT NULL AS BIGINT) AS embedded, CAST(r.ref IS NOT NULL AND c.note IS NULL AS BIGINT) AS missing
+FROM refs r LEFT JOIN c ON c.doc_id = r.doc_id AND c.k = 1""")
+def embed_notes_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few stems in many folders, so that only the folder tells which note is meant."""
+    short = F.replace("text", F.expr("'![fig](images/' || (doc_id % 60) || '.png)'"), F.expr("'![fig](images/' || (doc_id % 60 % 4) || '.png)'"))
+    docs = V.markdown(spark, sf_dir).select("doc_id", F.expr(_DOC_DIR).alias("dir"), short.alias("text"))
+    bodies = V.table(spark, sf_dir, "benchmark").select(F.expr(_NOTE_DIR).alias("dir"), (F.col("item_id") % 4).cast("string").alias("stem"), F.expr("'# ' || (item_id % 4) || '\n' || text").alias("body"))
+    return assembly.embed(docs, bodies)
+
+
+@query("merge_offsets", """WITH s AS (SELECT conv_id % 3 AS book, conv_id * 10 + turn AS start, CASE WHEN turn % 5 = 4 THEN 'images' ELSE 'p' || (turn + 1) || '-' || (turn + 3) END AS dir, CASE WHEN turn % 7 = 6 THEN NULL ELSE text END AS text FROM conversations)
+SELECT book, start, length(text) AS n, CAST(coalesce(sum(length(text) + 2) OVER (PARTITION BY book ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at FROM s WHERE regexp_matches(dir, '^p\\d+-\\d+$') AND text IS NOT NULL""")
+def merge_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = V.table(spark, sf_dir, "conversations")
+    folder = F.when(F.col("turn") % 5 == 4, "images").otherwise(F.format_string("p%d-%d", F.col("turn") + 1, F.col("turn") + 3))
+    slices = turns.select((F.col("conv_id") % 3).alias("book"), folder.alias("dir"), (F.col("conv_id") * 10 + F.col("turn")).alias("start"), F.when(F.col("turn") % 7 != 6, F.col("text")).alias("text"))
+    return assembly.merge_offsets(slices).select("book", "start", F.length("text").cast("long").alias("n"), "at")
+
+
 @query("embed_stats", f"WITH {_EMBEDDED} SELECT count(*) FILTER (WHERE embedded + missing > 0) AS files, CAST(sum(embedded) AS BIGINT) AS embedded, CAST(sum(missing) AS BIGINT) AS missing FROM e")
 def embed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embedded(spark, sf_dir).agg(F.count_if(F.col("embedded") + F.col("missing") > 0).alias("files"), F.sum("embedded").alias("embedded"), F.sum("missing").alias("missing"))
@@ -283,6 +323,17 @@ def folder_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.ready_folders(docs)
 
 
+_BATCH = "CASE p_partkey % 5 WHEN 0 THEN 'u' || (p_partkey % 7) || '_content_list.json' WHEN 1 THEN 'u' || (p_partkey % 7) || '_origin.pdf' WHEN 2 THEN 'u' || (p_partkey % 3) || '_origin.pdf' WHEN 3 THEN 'images/u_origin.pdf' ELSE 'full.md' END"
+
+
+@query("origin_pdfs", f"""WITH f AS (SELECT p_size AS out_dir, {_BATCH} AS path FROM part),
+l AS (SELECT out_dir, path AS content_list, replace(path, '_content_list.json', '') AS batch FROM f WHERE path LIKE '%_content_list.json'),
+o AS (SELECT DISTINCT out_dir, path, replace(path, '_origin.pdf', '') AS batch FROM f WHERE path LIKE '%_origin.pdf' AND NOT contains(path, '/'))
+SELECT l.out_dir, l.content_list, coalesce(o.path, (SELECT min(path) FROM o x WHERE x.out_dir = l.out_dir)) AS origin FROM l LEFT JOIN o ON o.out_dir = l.out_dir AND o.batch = l.batch""")
+def origin_pdfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inventory.origin_pdfs(V.table(spark, sf_dir, "part").select(F.col("p_size").alias("out_dir"), F.expr(_BATCH).alias("path")))
+
+
 @query("zip_member_safety", r"""WITH m AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN '/etc/x' WHEN 1 THEN 'a/../b' WHEN 2 THEN 'C:\x' WHEN 3 THEN 'a/b.md' WHEN 4 THEN '\x' ELSE 'a..b/c' END AS path FROM events)
 SELECT event_id, NOT (path LIKE '/%' OR starts_with(path, chr(92)) OR regexp_matches(path, '^[A-Za-z]:') OR list_contains(string_split_regex(path, '[/\\]'), '..')) AS safe FROM m""")
 def zip_member_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
