@@ -12,7 +12,7 @@ The k-th greatest sum is
 found by counting sums in ever finer bins, so nothing is sorted in one place; ties at the k-th place, however many, fall to
 the greater hash of the doc_id in the same way.
 
-Defined cases: null and empty texts have no n-gram and the weight 0; rows that repeat a doc_id get the same draw; without
+Defined cases: null and empty texts have no n-gram and the weight 0; rows that repeat a doc_id share their Gumbel number and keep weights of their own; without
 labels of both kinds all documents are kept; an empty table gives an empty result; further columns are ignored by
 ``importance`` and kept by ``resampled``; a null doc_id is kept or not by its weight like any other.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import grams, hashed_share, label_sample
-from .storage import small_or_shuffled, stored, without
+from .storage import TEXT_KEYS, small_or_shuffled, stored, with_text_keys, without
 from .tokens import WORD_OR_MARK, Words, string_column, words
 
 BITS = 18
@@ -86,8 +86,8 @@ def log_ratio(docs: DataFrame, labelled: DataFrame) -> np.ndarray | None:
     return (np.sign(ratio) * np.maximum(np.abs(ratio) - SLIGHT, 0)).astype(np.float32)
 
 
-def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """doc_id, n_grams and mean_ratio for each row of ``docs``."""
+def weighed(docs: DataFrame, ratio: np.ndarray, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_grams, mean_ratio and the columns ``keep`` for each row of ``docs``."""
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,11 +96,13 @@ def weighed(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 row, bucket = distinct_grams(w)
                 n = np.bincount(row, minlength=w.n_rows)
                 total = np.bincount(row, ratio[bucket], minlength=w.n_rows)
-                yield pa.RecordBatch.from_arrays([string_column(batch, "doc_id").slice(at, w.n_rows), pa.array(n), pa.array(total.astype(np.float64) / (n + SHRINK))], ["doc_id", "n_grams", "mean_ratio"])
+                kept = [batch.column(c).slice(at, w.n_rows) for c in keep]
+                yield pa.RecordBatch.from_arrays([string_column(batch, "doc_id").slice(at, w.n_rows), pa.array(n), pa.array(total.astype(np.float64) / (n + SHRINK)), *kept], ["doc_id", "n_grams", "mean_ratio", *keep])
                 at += w.n_rows
 
-    texts = docs.select("doc_id", "text")
-    return texts.mapInArrow(weigh, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n_grams long, mean_ratio double")
+    texts = docs.select("doc_id", "text", *keep)
+    kinds = "".join(f", {c} {texts.schema[c].dataType.simpleString()}" for c in keep)
+    return texts.mapInArrow(weigh, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n_grams long, mean_ratio double{kinds}")
 
 
 def kth_greatest(sums: DataFrame, k: int) -> tuple[float, int]:
@@ -121,30 +123,30 @@ def kth_greatest(sums: DataFrame, k: int) -> tuple[float, int]:
     return high, k - sums.where(F.col("key") > high).count()
 
 
-def importance(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, n_grams, weight, key and kept for each row of ``docs``."""
+def importance(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_grams, weight, key, kept and the columns ``keep`` for each row of ``docs``."""
     labelled = stored(label_sample(labels, "quality", MOST_EXAMPLES, 1).withColumn("for_cut", hashed_share(F.col("doc_id"), 11) < FOR_CUT))
     ratio = log_ratio(docs, labelled.where("not for_cut"))
     if ratio is None:
-        found = weighed(docs, np.zeros(1 << BITS, np.float32))
-        return found.select("doc_id", "n_grams", F.lit(0.0).alias("weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"))
+        found = weighed(docs, np.zeros(1 << BITS, np.float32), keep)
+        return found.select("doc_id", "n_grams", F.lit(0.0).alias("weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"), *keep)
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40)) + 0.5) / F.lit(float(1 << 40))
-    found = weighed(docs, ratio).withColumn("weight", F.col("mean_ratio") * SHARPNESS)
+    found = weighed(docs, ratio, keep).withColumn("weight", F.col("mean_ratio") * SHARPNESS)
     found = stored(found.withColumn("key", F.col("weight") - F.log(-F.log(uniform))))
     chosen = labelled.where("label = 1 and for_cut").select(F.col("doc_id").alias("__doc_id"))
     good = found.join(small_or_shuffled(chosen, MOST_EXAMPLES), F.col("doc_id").cast("string") == F.col("__doc_id"))
     cut = good.agg(F.percentile("mean_ratio", LOST)).first()[0]
     k = found.where(F.col("mean_ratio") >= (cut if cut is not None else float("-inf")) - MARGIN).count()
     if not k:
-        return found.select("doc_id", "n_grams", "weight", "key", F.lit(False).alias("kept"))
+        return found.select("doc_id", "n_grams", "weight", "key", F.lit(False).alias("kept"), *keep)
     edge, ties = kth_greatest(found, k)
     # Of equal sums at the k-th place those with the greatest hash of the doc_id, found by the same finer bins.
     by_hash = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED + 1)), 11).cast("double")
     last, _ = kth_greatest(found.where(F.col("key") == edge).select(by_hash.alias("key")), ties)
     at_edge = by_hash >= F.lit(float(last))
-    return found.select("doc_id", "n_grams", "weight", "key", ((F.col("key") > edge) | ((F.col("key") == edge) & at_edge)).alias("kept"))
+    return found.select("doc_id", "n_grams", "weight", "key", ((F.col("key") > edge) | ((F.col("key") == edge) & at_edge)).alias("kept"), *keep)
 
 
 def resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are drawn, with their columns."""
-    return without(docs, importance(docs, labels).where("not kept"))
+    """The rows of ``docs`` that are drawn, with their columns. Rows that share a doc_id are told apart by their texts."""
+    return without(docs, importance(with_text_keys(docs), labels, TEXT_KEYS).where("not kept"))

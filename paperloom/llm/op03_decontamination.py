@@ -14,7 +14,7 @@ every document is held against every block in place, without a shuffle or join.
 
 Defined cases: null and empty texts, and items without words, are never contaminated and never contaminate; an item of
 fewer than five words is one shingle; repeated rows get the same result; an empty table of either kind gives no hits;
-columns of the input other than doc_id and text pass through ``decontaminated`` and are ignored by ``contamination``.
+item_id may be of any type; columns of the input other than doc_id and text pass through ``decontaminated`` and are ignored by ``contamination``.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from .tokens import ALNUM, Words, chain, shingles, string_column, words
 
@@ -109,13 +110,13 @@ def block_of(prints: np.ndarray, low: int, width: int) -> np.ndarray:
 class Index:
     """Items that are looked up at once. By size class: fingerprints, their item and offset, and a table for each block."""
 
-    ids: list[int | None]
+    ids: list
     size: np.ndarray
     windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]
     shingles: list[tuple[np.ndarray, np.ndarray]]
 
 
-def build_index(items: list[tuple[int | None, str | None]]) -> Index:
+def build_index(items: list[tuple]) -> Index:
     sizes, hashes, turns, sets = [], [], [], []
     for w in plain_words(pa.array([t for _, t in items], pa.string())):
         h, row = shingles(w, SHINGLE)
@@ -245,7 +246,7 @@ def hits(w: Words, index: Index, known: tuple[np.ndarray, np.ndarray]) -> dict[t
 
 def blocks(benchmark: DataFrame) -> Iterator[Index]:
     rows: list = []
-    for r in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
+    for r in benchmark.select("item_id", "text").toLocalIterator():
         rows.append(tuple(r))
         if len(rows) == BLOCK:
             yield build_index(rows)
@@ -269,14 +270,14 @@ def adding_hits(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                     items[w.rows.start + row].append(index.ids[item])
                     best[w.rows.start + row] = max(best[w.rows.start + row], x)
             items = [sorted(set(x), key=lambda i: (i is None, i)) for x in items]
-            columns = [batch.column(i) for i in range(batch.num_columns - 2)] + [pa.array(items, pa.list_(pa.int64())), pa.array(best, pa.float64())]
+            columns = [batch.column(i) for i in range(batch.num_columns - 2)] + [pa.array(items, batch.schema.field(batch.num_columns - 2).type), pa.array(best, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return add
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    found = docs.withColumns({ITEMS: F.array().cast("array<long>"), SIMILARITY: F.lit(0.0)})
+    found = docs.withColumns({ITEMS: F.array().cast(ArrayType(benchmark.schema["item_id"].dataType)), SIMILARITY: F.lit(0.0)})
     for index in blocks(benchmark):
         found = found.mapInArrow(adding_hits(index), found.schema)
     return found

@@ -18,7 +18,8 @@ that is 0.99999; with one of 0.8, 0.9998.
 
 Defined cases: null and empty texts have n_shingles 0 and are components of their own; rows that repeat a doc_id are one
 document; a null doc_id gets the component of its copies, or null, and is kept in the latter case; an empty table gives an
-empty result; further columns are ignored by ``near_duplicates`` and kept by ``deduplicated``.
+empty result; further columns are ignored by ``near_duplicates`` and kept by ``deduplicated``, which tells rows apart by doc_id and
+text.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from .graph import components
-from .storage import small_or_shuffled, stored, without
+from .storage import TEXT_KEYS, small_or_shuffled, stored, with_text_keys, without
 from .tokens import mix, shingle_sets, string_column, words
 
 TREES, DEPTH, SHALLOW = 12, 5, 3
@@ -56,10 +57,12 @@ def doc_id_of(docs: DataFrame) -> tuple[Column, str]:
 
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each row its set's size, 128-bit key and, tree by tree, hashes of the label's prefixes of 3, 4 and 5 values."""
+    """For each row its set's size, 128-bit key and, tree by tree, hashes of the label's prefixes of 3, 4 and 5 values; further
+    columns are kept behind them."""
     per_tree = DEPTH - SHALLOW + 1
     for batch in batches:
         ids, at = string_column(batch, "doc_id"), 0
+        more = [c for c in batch.schema.names if c not in ("doc_id", "text")]
         for w in words(string_column(batch, "text")):
             h, first = shingle_sets(w)
             n = np.diff(first)
@@ -80,9 +83,9 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         if d + 1 >= SHALLOW:
                             labels[full, t * per_tree + d + 1 - SHALLOW] = prefix
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * (TREES * per_tree)), pa.array(labels.ravel().view(np.int64)))
-            columns = [ids.slice(at, len(n)), pa.array(n.astype(np.int64)), *(pa.array(k.view(np.int64)) for k in keys), lists]
+            columns = [ids.slice(at, len(n)), pa.array(n.astype(np.int64)), *(pa.array(k.view(np.int64)) for k in keys), lists, *(batch.column(c).slice(at, len(n)) for c in more)]
             at += len(n)
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "key_a", "key_b", "labels"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "key_a", "key_b", "labels", *more])
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,10 +214,11 @@ def joined_with(links: DataFrame, component: DataFrame, more: DataFrame) -> tupl
     return links, stored(components(links))
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``docs``; with ``keep`` also these columns and the set's key."""
     doc_id, kind = doc_id_of(docs)
-    signed = stored(docs.select(doc_id, "text").mapInArrow(signatures, SIGNATURE_SCHEMA.format(kind)))
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    signed = stored(docs.select(doc_id, "text", *keep).mapInArrow(signatures, SIGNATURE_SCHEMA.format(kind) + kinds))
     grouped = signed.where("n_shingles > 0").groupBy("key_a", "key_b", "n_shingles")
     classes = stored(grouped.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("labels").alias("labels")))
     found = regions(classes.where("node is not null"))
@@ -230,16 +234,29 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     linked = stored(linked.select("key_a", "key_b", "n_shingles", F.coalesce("component", "node").alias("component_id"), F.lit(True).alias("linked")))
     joined = signed.drop("labels").join(small_or_shuffled(linked, linked.count()), ["key_a", "key_b", "n_shingles"], "left")
     component_id = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    more = (*keep, "key_a", "key_b") if keep else ()
+    return joined.select("doc_id", "n_shingles", component_id.alias("component_id"), *more).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def deduplicated(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """One row of ``docs`` for each component: of its first document."""
-    rest = without(docs, near_duplicates(docs, threshold).where("not kept"))
-    repeated = stored(docs.groupBy(F.col("doc_id").alias("__doc_id")).count().where("count > 1 and __doc_id is not null").select("__doc_id"))
+    """One row of ``docs`` for each component: of its first document.
+
+    Rows are told apart by doc_id and text. Where neither tells, as with copies without a doc_id, one row of each set of shingles
+    stays; rows without words and doc_id are linked with nothing and all stay.
+    """
+    found = stored(near_duplicates(with_text_keys(docs), threshold, TEXT_KEYS))
+    text = F.struct(*TEXT_KEYS)
+    alike = found.where("kept and n_shingles > 0").groupBy("doc_id", "key_a", "key_b").agg(F.min(text).alias("first"), F.max(text).alias("last")).where("first != last")
+    alike = stored(alike.select(F.col("doc_id").alias("__id"), F.col("key_a").alias("__a"), F.col("key_b").alias("__b"), "first"))
+    others = found.where("kept").join(small_or_shuffled(alike, alike.count()), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key_a") == F.col("__a")) & (F.col("key_b") == F.col("__b")) & (text != F.col("first")))
+    gone = found.where("not kept").select("doc_id", *TEXT_KEYS).unionByName(others.select("doc_id", *TEXT_KEYS))
+    kind = docs.schema["doc_id"].dataType
+    rest = with_text_keys(without(docs, gone.withColumn("doc_id", F.col("doc_id").cast(kind))))
+    repeated = found.where("kept and (doc_id is not null or n_shingles > 0)").groupBy("doc_id", *TEXT_KEYS).count().where("count > 1")
+    repeated = stored(repeated.select(F.col("doc_id").cast(kind).alias("__doc_id"), *[F.col(c).alias(f"_{c}") for c in TEXT_KEYS]))
     rows = repeated.count()
     if not rows:
-        return rest
-    same = F.col("doc_id") == F.col("__doc_id")
-    once = rest.join(small_or_shuffled(repeated, rows), same, "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(small_or_shuffled(repeated, rows), same, "left_anti").unionByName(once)
+        return rest.drop(*TEXT_KEYS)
+    same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), *[F.col(c) == F.col(f"_{c}") for c in TEXT_KEYS]]
+    once = rest.join(small_or_shuffled(repeated, rows), same, "left_semi").dropDuplicates(["doc_id", *TEXT_KEYS])
+    return rest.join(small_or_shuffled(repeated, rows), same, "left_anti").unionByName(once).drop(*TEXT_KEYS)

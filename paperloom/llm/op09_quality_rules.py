@@ -14,7 +14,7 @@ the patterns, which are at most 16,384 rows.
 
 Defined cases: a null or empty text has no words and fails the base rules; repeated rows get the same verdict, as do equal
 texts; all of a very long text counts; an empty table gives an empty result; further columns of the input are ignored, and
-``filter_quality`` returns them unchanged.
+``filter_quality`` returns them unchanged; there rows with a null or repeated doc_id are each judged by their own text.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored, without
+from .storage import TEXT_KEYS, stored, with_text_keys, without
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 8
@@ -173,6 +173,6 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def filter_quality(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept; rows that repeat a doc_id stay if one of them is kept."""
-    verdicts = quality(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return without(docs, verdicts.where("not kept"))
+    """The rows of ``docs`` that are kept. Each row is judged by its own text, also where doc_ids are null or repeat."""
+    rows = with_text_keys(docs).select(F.struct("doc_id", *TEXT_KEYS).alias("doc_id"), "text")
+    return without(docs, quality(rows).where("not kept").select("doc_id.*"))

@@ -121,7 +121,9 @@ def training_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     lines = every.where(hashed_share(F.concat_ws("|", "doc_id", "at"), 10) < min(1.0, MOST_LINES / max(1, total or 0))).select("line")
     lines = lines.where(~F.lower("line").rlike("licen[cs]e|spdx|gnu|cc by")).select(F.lit(UNKNOWN).alias("family"), plain(F.col("line")).alias("words")).where(F.size("words") > 0)
     every = parts.unionByName(unrelated).unionByName(lines).select("family", grams(F.col("words")).alias("grams"))
-    return stored(every.withColumn("held", hashed_share(F.concat_ws("|", "grams"), 3) < 0.25).coalesce(1))
+    # Only these few lines meet in one task, in a fixed order; the documents are read and sampled in all.
+    told = every.withColumn("held", hashed_share(F.concat_ws("|", "grams"), 3) < 0.25)
+    return stored(told.repartition(1).sortWithinPartitions("family", F.concat_ws("|", "grams")))
 
 
 def train(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, dict[str, float], float]:

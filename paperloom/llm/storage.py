@@ -62,7 +62,16 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id (null: like any other) is not among those of ``ids``."""
-    ids = stored(ids.select(F.col("doc_id").alias("__doc_id")).distinct())
-    return docs.join(small_or_shuffled(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti")
+#: Names of two hashes of a text, which with the doc_id tell rows apart where ids are null or repeat.
+TEXT_KEYS = ("__t1", "__t2")
+
+
+def with_text_keys(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"__t1": F.xxhash64("text"), "__t2": F.hash("text")})
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id (null: like any other) and text are not those of one of ``rows`` (doc_id, text keys)."""
+    gone = stored(rows.select(F.col("doc_id").alias("__doc_id"), *[F.col(c).alias(f"_{c}") for c in TEXT_KEYS]).distinct())
+    same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), *[F.col(c) == F.col(f"_{c}") for c in TEXT_KEYS]]
+    return with_text_keys(docs).join(small_or_shuffled(gone, gone.count()), same, "left_anti").drop(*TEXT_KEYS)
