@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from paperloom.functions import text as T
 from paperloom.operators.packing import DAY_BUDGET, day_plan, page_budget  # noqa: F401
+from paperloom.sources.tables import stored
 
 KEY = ("file", "start", "end")
 DOCUMENT_KINDS = {".pdf": "PDF", ".doc": "DOC", ".docx": "DOC", ".ppt": "PPT", ".pptx": "PPT", ".html": "HTML", ".htm": "HTML"}
@@ -85,6 +86,20 @@ def only(blocks: DataFrame, keyword: str) -> DataFrame:
     return blocks.where(F.contains(F.lower(T.basename(F.col("file"))), F.lit(keyword.lower())))
 
 
+def numbered(rows: DataFrame, prefix: str, *order: str) -> DataFrame:
+    """Adds place and data_id ('<prefix><place>') in one order over all rows, as single jobs without days are named ('cx', 'html').
+
+    Ranges of the order are counted in their tasks and start where the ones before them end: one small row a range meets in a task.
+    Rows that ``order`` does not tell apart are numbered in any order.
+    """
+    ranged = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__no", F.monotonically_increasing_id()))
+    ranged = ranged.withColumns({"__range": F.shiftright("__no", 33).cast("int"), "__no": F.col("__no").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("n"))
+    starts = sizes.select("__range", (F.sum("n").over(Window.orderBy("__range")) - F.col("n")).alias("__start"))
+    made = ranged.join(F.broadcast(starts), "__range").withColumn("place", F.col("__start") + F.col("__no"))
+    return made.drop("__range", "__start", "__no").withColumn("data_id", F.concat(F.lit(prefix), F.col("place").cast("string")))
+
+
 def batches(blocks: DataFrame, group: str, *order: str, size: int = BATCH) -> DataFrame:
     """Adds place, batch and data_id ('d<group>b<place>') in the order of a group."""
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1

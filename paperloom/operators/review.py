@@ -23,6 +23,15 @@ SPEC = (
 )
 OTHER = "其他"
 CALLS_PER_PAGE, REGIONS = 7, 5
+# What a reviewer is asked about a region of a type (None: any other), and about a whole page.
+PROMPTS = {
+    "equation": "这是PDF中一个公式区域。请识别该公式的数学表达式，判断：1)公式是否完整无截断 2)是否有乱码 3)能否辨认清楚。",
+    "table": "这是PDF中一个表格区域。请判断：1)表格结构是否完整对齐 2)行列是否清晰 3)是否有明显错位或乱码。",
+    "image": "这是PDF中一张图片/图表。请描述内容，判断：1)图片是否清晰完整 2)是否有明显失真或截断。",
+    "chart": "这是PDF中一张图片/图表。请描述内容，判断：1)图片是否清晰完整 2)是否有明显失真或截断。",
+    "page": "这是PDF完整一页。请判断：1)整体布局是否正常(无大面积空白/错乱) 2)是否有明显的内容丢失或乱码 3)标题/正文/图表是否结构正常。",
+    None: "请描述该区域内容并判断是否清晰可读。",
+}
 REGION_TYPES = ("equation", "image", "table", "chart")
 SEVERITY = ("pass", "suspicious", "fail")
 
@@ -67,6 +76,12 @@ def page_regions(elements: DataFrame, most: int = REGIONS) -> DataFrame:
     return found.withColumn("prompt", prompt)
 
 
+def question(kind: Column) -> Column:
+    """The text of the question about a region of this type, or about the page."""
+    texts = F.create_map(*[F.lit(x) for k, v in PROMPTS.items() if k for x in (k, v)])
+    return F.coalesce(texts[kind], F.lit(PROMPTS[None]))
+
+
 def anomalous(answer: Column) -> Column:
     """More negative than positive words occur in the answer, each counted once."""
     hits = lambda words: reduce(lambda a, b: a + b, [F.contains(answer, F.lit(w)).cast("int") for w in words])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.operators import gates, review, runs
+from paperloom.operators import blocks, gates, review, runs
 from paperloom.plans import views as V
 from paperloom.plans.registry import query
-from paperloom.sources import files
+from paperloom.sources import buckets, content_lists, files, sinks, tables
 
 MOST, BUDGET = 20, 100
 
@@ -244,9 +246,76 @@ def enrich_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("queue_round_trip", f"""WITH {V.BLOCKS_SQL} SELECT file, start, "end", CASE WHEN done THEN 'low' ELSE 'high' END AS verdict, CASE WHEN done THEN 0 ELSE 2 END AS n_problems FROM blocks""")
 def queue_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.blocks(spark, sf_dir).select("source", "file", "start", "end", F.when(F.col("done"), "low").otherwise("high").alias("verdict"), F.expr("CASE WHEN done THEN array() ELSE array('full.md', '缺输出') END").alias("problems"))
-    written = rows.groupBy("source").agg(F.to_json(F.struct(F.count("*").alias("count"), F.collect_list(F.struct("file", "start", "end", "verdict", "problems")).alias("queue"))).alias("value"))
-    return files.queue(written.select("value")).select("file", "start", "end", "verdict", F.size("problems").alias("n_problems"))
+    rows = V.blocks(spark, sf_dir).select("file", "start", "end", F.when(F.col("done"), "low").otherwise("high").alias("verdict"), F.expr("CASE WHEN done THEN array() ELSE array('full.md', '缺输出') END").alias("problems"))
+    return files.queue(sinks.json_envelope(rows, "queue")).select("file", "start", "end", "verdict", F.size("problems").alias("n_problems"))
+
+
+_FOUND = "CASE kind WHEN 'PDF' THEN 'fail' WHEN 'DOC' THEN 'pass' ELSE 'suspicious' END"
+
+
+@query("results_round_trip", f"""WITH {V.BLOCKS_SQL} SELECT regexp_extract(file, '[^/]+$') AS basename, file, start, "end", CASE WHEN complex > 2 THEN 'high' ELSE 'formula' END AS priority, {_FOUND} AS verdict, pages AS pages_reviewed, CASE WHEN kind = 'PDF' THEN '页 ' || pages || '|' || source ELSE '' END AS reasons FROM blocks""")
+def results_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Third-level results written as files of their form and read as those of an earlier run."""
+    block = F.struct(F.expr("regexp_extract(file, '[^/]+$', 0)").alias("basename"), "file", "start", "end", F.lit("").alias("out_dir"), F.expr("IF(complex > 2, 'high', 'formula')").alias("priority"))
+    reasons = F.expr("CASE WHEN kind = 'PDF' THEN array(array('页 ' || pages, source)) ELSE array() END")
+    rows = V.blocks(spark, sf_dir).select(block.alias("block"), F.expr(_FOUND).alias("verdict"), F.col("pages").alias("pages_reviewed"), reasons.alias("reasons"))
+    back = files.results(sinks.json_envelope(rows, "results"))
+    return back.select("basename", "file", "start", "end", "priority", "verdict", "pages_reviewed", F.array_join(F.flatten("reasons"), "|").alias("reasons"))
+
+
+@query("content_elements", f"""WITH {V.ELEMENTS_SQL} SELECT doc_id, page_idx, elem_no, type, text, y0 FROM elements""")
+def content_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of all documents written as content lists and read element by element."""
+    path = f"{tables.shared_dir(spark)}/lists-{uuid.uuid4().hex}"
+    box = F.array(F.lit(0.0), "y0", "height", "y1")
+    content_lists.write(V.elements(spark, sf_dir).select("doc_id", "page_idx", F.col("elem_no").alias("no"), "type", "text", box.alias("bbox")), path)
+    back = content_lists.read(spark, path, "doc_id long, page_idx int, no int, type string, text string, bbox array<double>", ".txt")
+    return back.select("doc_id", "page_idx", F.col("no").alias("elem_no"), "type", "text", F.get("bbox", F.lit(1)).alias("y0"))
+
+
+_STORED = """WITH r AS (SELECT l_orderkey, l_suppkey % 7 AS run, l_linenumber AS pos, l_returnflag AS flag, l_partkey FROM lineitem),
+f AS (SELECT l_orderkey, run, pos, flag, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {0}, pos, l_partkey, flag) AS place FROM (SELECT *, CASE WHEN run < 4 THEN 0 WHEN run < 6 THEN 1 ELSE 2 END AS generation FROM r))
+SELECT l_orderkey, pos, flag, l_partkey FROM f WHERE place = 1"""
+
+
+def _stored(spark: SparkSession, sf_dir: str, latest: bool) -> DataFrame:
+    """Three runs over the order lines, told by the supplier, with the order as the key."""
+    path = f"{tables.shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    lines = V.table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("pos"), F.col("l_returnflag").alias("flag"), "l_partkey", (F.col("l_suppkey") % 7).alias("run"))
+    for part in ("run < 4", "run IN (4, 5)", "run = 6"):
+        buckets.merge(lines.where(part).drop("run"), path, ["l_orderkey"], ["pos", "l_partkey", "flag"], latest, 8)
+    return buckets.read(spark, path, latest)
+
+
+@query("store_merge", _STORED.format("generation"))
+def store_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, False)
+
+
+@query("store_merge_latest", _STORED.format("generation DESC"))
+def store_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, True)
+
+
+_ASKED = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in review.PROMPTS.items() if k)
+
+
+@query("review_prompts", f"""WITH {V.ELEMENTS_SQL}, t AS (SELECT doc_id, page_idx, elem_no, {_KIND} AS type FROM elements),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_idx ORDER BY elem_no) AS place FROM t WHERE type <> 'text'),
+c AS (SELECT doc_id, page_idx, CAST(place AS INT) AS call, type FROM r WHERE place <= 5 UNION ALL SELECT doc_id, page_idx, 6, 'page' FROM pages_)
+SELECT doc_id, page_idx, call, CASE type {_ASKED} ELSE '{review.PROMPTS[None]}' END AS question FROM c""")
+def review_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    elements = V.elements(spark, sf_dir).withColumn("type", F.expr(_KIND))
+    return runs.review_calls(elements, V.book_pages(spark, sf_dir)).select("doc_id", "page_idx", "call", review.question(F.col("type")).alias("question"))
+
+
+@query("job_ids", """SELECT doc_id, 'html' || (row_number() OVER (ORDER BY source NULLS FIRST, doc_id) - 1) AS data_id FROM documents WHERE doc_id % 4 = 3
+UNION ALL SELECT doc_id, 'cx' || (row_number() OVER (ORDER BY source NULLS FIRST, doc_id) - 1) FROM documents WHERE doc_id % 4 <> 3 AND doc_id % 5 >= 3""")
+def job_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and complex blocks as single jobs, numbered over all of them."""
+    rows = V.blocks(spark, sf_dir).select("source", "doc_id", "kind", "complex")
+    one = lambda prefix, where: blocks.numbered(rows.where(where), prefix, "source", "doc_id").select("doc_id", "data_id")
+    return one("html", "kind = 'HTML'").unionByName(one("cx", f"kind <> 'HTML' AND complex >= {blocks.COMPLEX}"))
 
 
 _RAW = """CASE event_id % 5 WHEN 0 THEN '{"converted": ' || event_id || ', "last_block_idx": 3, "issues": ["a"]}' WHEN 1 THEN '{"converted": ' WHEN 2 THEN '[1, 2]' WHEN 3 THEN '{}' END"""

@@ -73,9 +73,15 @@ def write_cleaned(cleaned: DataFrame, path: str, version: int, dry_run: bool = F
     return rows.agg(F.count_if(F.col("n_removed") > 0).alias("docs"), F.coalesce(F.sum("n_removed"), F.lit(0)).alias("removed"))
 
 
-def json_envelope(rows: DataFrame, name: str) -> DataFrame:
-    """One text for each partition of ``rows`` (an object with ``count`` and the rows under ``name``): parts of a queue or
-    of results, so that no task holds all of them."""
-    part = F.spark_partition_id().alias("__part")
+#: Rows that one text of ``json_envelope`` holds at most.
+ENVELOPE_ROWS = 10_000
+
+
+def json_envelope(rows: DataFrame, name: str, most: int = ENVELOPE_ROWS) -> DataFrame:
+    """Texts (an object with ``count`` and the rows under ``name``) of ``most`` rows each: parts of a queue or of results, so that no
+    task and no row holds all of them. Rows of a part lie together already, so little is exchanged but the parts."""
+    # The upper bits of the number are the partition, the lower ones count within it.
+    number = F.monotonically_increasing_id()
     whole = F.struct(F.count("*").alias("count"), F.collect_list(F.struct(*rows.columns)).alias(name))
-    return rows.withColumn("__part", part).groupBy("__part").agg(F.to_json(whole).alias("value")).select("value")
+    parts = rows.withColumn("__part", F.struct(F.shiftright(number, 33).alias("p"), F.floor(number.bitwiseAND(F.lit((1 << 33) - 1)) / most).alias("n")))
+    return parts.groupBy("__part").agg(F.to_json(whole).alias("value")).select("value")
