@@ -6,6 +6,9 @@ the address names, each trusted as far as it agreed with the text over all pages
 towards that of its registered domain, which is smoothed towards the shares over all pages. Shares and trust are grouped
 sums over all pages of the posteriors from the text alone.
 
+The address names a language by its first path part or its subdomain, which are compared with the languages' codes, or by its
+country. A registered domain is told by a rule (``registered``), not by a list of all suffixes.
+
 Defined cases: null or empty html leaves declaration, address and host; a null url is the host ''; a declared or named
 language that no labelled document has is no evidence; without labelled documents every language is null; repeated rows
 agree; an empty table gives an empty result; further columns are ignored.
@@ -36,6 +39,21 @@ HOST_WEIGHT, DOMAIN_WEIGHT = 10.0, 10.0
 #: Pages that a trust of one half counts as.
 TRUST_WEIGHT = 4.0
 
+# Kinds of organisation below which countries register names, and countries' suffixes by the language that most of
+# their people write. Countries of several languages (be, ca, ch, in, sg, za ...) and suffixes used as words (io, me, tv) are not here.
+ORGANISATIONS = frozenset("ac co com edu gob gouv gov go mil ne net nom or org sch".split())
+COUNTRIES = {
+    suffix: lang
+    for lang, suffixes in {
+        "ar": "ae bh dz eg iq jo kw lb ly ma om qa sa sd sy tn ye", "bg": "bg", "cs": "cz", "da": "dk", "de": "at de li", "el": "gr",
+        "en": "au gb ie nz uk us", "es": "ar bo cl cr cu do ec es gt hn mx ni pa pe pr py sv uy ve", "et": "ee", "fa": "ir", "fi": "fi",
+        "fr": "fr mc sn", "he": "il", "hr": "hr", "hu": "hu", "id": "id", "is": "is", "it": "it sm va", "ja": "jp", "ko": "kp kr",
+        "lt": "lt", "lv": "lv", "nl": "nl sr", "no": "no", "pl": "pl", "pt": "ao br mz pt", "ro": "md ro", "ru": "ru su", "sk": "sk",
+        "sl": "si", "sq": "al", "sr": "rs", "sv": "se", "th": "th", "tr": "tr", "uk": "ua", "vi": "vn", "zh": "cn hk mo tw",
+    }.items()
+    for suffix in suffixes.split()
+}
+
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|<[^>]*>", re.S | re.I)
 _MAIN = re.compile(r"<(?:article|main)\b(?:.*</(?:article|main)\s*>|.*\Z)", re.S | re.I)
 _LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([a-zA-Z]{2,3})""", re.I)
@@ -97,7 +115,7 @@ def evidence(langs: list[str], model: np.ndarray):
             scores -= scores.max(axis=1, keepdims=True) if len(langs) else 0
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(urls) + 1, dtype=np.int32) * len(langs)), pa.array(scores.ravel()))
             known = [[x if x in langs else None for x in column] for column in (declared, named)]
-            columns = [string_column(batch, "page_id"), string_column(batch, "url"), pa.array(hosts, pa.string()), pa.array([".".join(h.split(".")[-2:]) for h in hosts], pa.string()), *(pa.array(k, pa.string()) for k in known), lists]
+            columns = [string_column(batch, "page_id"), string_column(batch, "url"), pa.array(hosts, pa.string()), pa.array([registered(h) for h in hosts], pa.string()), *(pa.array(k, pa.string()) for k in known), lists]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "host", "domain", "declared", "named", "text_scores"])
 
     return read
@@ -112,10 +130,26 @@ def visible(page: str | None) -> str:
 
 
 def named_language(url: str | None, host: str, langs: list[str]) -> str | None:
-    """The language that a path part, a subdomain or the address's suffix names."""
+    """The language of the first path part or the subdomain, else that of the country that the address ends in."""
     path = re.split(r"[?#]", re.sub(r"^[a-z][a-z0-9+.-]*://[^/]*", "", (url or "").lower()))[0]
-    parts = [x for x in path.split("/") if x][:1] + host.split(".")[:1] + host.split(".")[-1:]
-    return next((x for x in parts if x in langs), None)
+    labels = bare(host).split(".")
+    parts = [x for x in path.split("/") if x][:1] + (labels[:1] if len(labels) > 2 else [])
+    return next((x for x in [*parts, COUNTRIES.get(labels[-1]) if len(labels) > 1 else None] if x in langs), None)
+
+
+def bare(host: str) -> str:
+    """Without user and port."""
+    return re.sub(r":\d*$", "", host.rsplit("@", 1)[-1]) if "]" not in host else host
+
+
+def registered(host: str) -> str:
+    """The domain of a host that one owner registers: the last two labels, or three below a kind of organisation of a country
+    (``co.uk``); an address of numbers is its own."""
+    labels = bare(host).split(".")
+    if labels[-1].isdigit() or "]" in host:
+        return host
+    three = len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in ORGANISATIONS
+    return ".".join(labels[-3:] if three else labels[-2:])
 
 
 def softmax(scores: Column) -> Column:
