@@ -192,9 +192,10 @@ def paths(parent: np.ndarray, side: np.ndarray, counts: np.ndarray, with_nodes:
 class Model:
     """Symbols: the vocabulary by falling count, the end, then the buckets of rarer words; ``rank`` is their order by code."""
 
-    #: The vocabulary's hashes in order, and the symbol of each.
+    #: The vocabulary's hashes in order, and the symbol of each; by the first bits of a hash the first of them that is not below.
     known: np.ndarray
     symbol: np.ndarray
+    heads: np.ndarray
     counts: np.ndarray
     buckets: np.ndarray
     tree: Tree
@@ -254,7 +255,24 @@ def built(known: np.ndarray, symbol: np.ndarray, counts: np.ndarray, buckets: np
     bits = min(64 - SYMBOL_BITS, max(32, int(n_tokens).bit_length() + SPARE_BITS))
     letters = paths(*huffman(letter_counts), letter_counts)
     letter_bits = (letters.code[:, None] >> (np.uint64(31) - np.arange(letters.own.shape[1], dtype=np.uint64))) & np.uint64(1)
-    return Model(known, symbol, counts, buckets, Tree(code, size, trunk.nodes, own), rank, order, code[order], top, hot, stem, bits, parts, letters, letter_bits.astype(bool))
+    return Model(known, symbol, head_places(known), counts, buckets, Tree(code, size, trunk.nodes, own), rank, order, code[order], top, hot, stem, bits, parts, letters, letter_bits.astype(bool))
+
+
+def head_places(known: np.ndarray) -> np.ndarray:
+    """For ``position``: where the ascending ``known`` reach each value of their first bits, of which there are twice as many."""
+    bits = max(1, len(known).bit_length())
+    return np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+
+
+def position(known: np.ndarray, heads: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(known, h)`` for hashes: from the first of its head on, a step at a time, and few need more than one."""
+    at = heads.take((h >> np.uint64(65 - len(heads).bit_length())).astype(np.intp))
+    late = np.flatnonzero(at < len(known))
+    while len(late):
+        late = late[known.take(at.take(late)) < h.take(late)]
+        at[late] += 1
+        late = late[at.take(late) < len(known)]
+    return at
 
 
 def reduced(h: np.ndarray, places: int, bits: int = 64) -> np.ndarray:
@@ -332,7 +350,7 @@ def byte_states(blocks: DataFrame) -> np.ndarray:
 
 def planes(x: np.ndarray) -> bytes:
     """Numbers by significance of their bytes, compressed."""
-    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), "zstd", asbytes=True)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T), "zstd", asbytes=True)
 
 
 def from_planes(data: bytes, n: int, kind: type) -> np.ndarray:
@@ -353,7 +371,7 @@ class Held:
         self.ids, self.n_words, self.n_bytes, self.symbols, self.rarer, self.letters = [], [], [], [], [], []
 
     def add(self, model: Model, w: Words, ids: list) -> None:
-        at = np.minimum(np.searchsorted(model.known, w.hash), max(0, len(model.known) - 1))
+        at = np.minimum(position(model.known, model.heads, w.hash), max(0, len(model.known) - 1))
         rarer = model.known[at] != w.hash if len(model.known) else np.ones(len(w.hash), bool)
         bucket = len(model.known) + 1 + (w.hash >> np.uint64(64 - TRIE)).astype(np.int64)
         self.symbols.append(np.where(rarer, bucket, model.symbol[at]).astype(np.uint32) if len(model.known) else bucket.astype(np.uint32))
@@ -432,9 +450,9 @@ def read_chunk(model: Model, r: dict) -> Chunk:
     return Chunk(n_words, row, place, symbol, symbol > k, from_planes(r["rarer"], r["n_rarer"], np.uint64) << np.uint64(RARER_SHIFT))
 
 
-def pairs_of(model: Model, c: Chunk, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs of a context of ``order`` words and a symbol that the chunk needs, each once and ascending, and by token its
-    pair and the one that has the first bits of its symbol."""
+def token_pairs(model: Model, c: Chunk, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By token its pair of a context of ``order`` words and a symbol; the tokens whose context is split, and for each of these
+    the pair that has the first bits of its symbol."""
     is_end = c.symbol == len(model.known)
     # A word as a context: by its symbol if it has one of its own; an end is what a row's first word follows.
     word = mix(c.symbol.astype(np.uint64) + np.uint64(1))
@@ -453,11 +471,28 @@ def pairs_of(model: Model, c: Chunk, order: int) -> tuple[np.ndarray, np.ndarray
     top, split = model.top[c.symbol], np.flatnonzero(is_hot)
     tops = pair(model, mix(context[split] ^ _SALTS[2]), top[split])
     context[split] = mix(context[split] ^ (top[split] + np.uint64(1)) * _SALTS[5])
-    found, at = np.unique(np.concatenate([pair(model, context, model.rank[c.symbol]), tops]), return_inverse=True)
-    whole = at[: len(context)]
-    at_top = whole.copy()
-    at_top[split] = at[len(context) :]
-    return found, whole, at_top
+    return pair(model, context, model.rank[c.symbol]), split, tops
+
+
+def pair_times(whole: np.ndarray, split: np.ndarray, tops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a chunk's tokens, each once and ascending, and how many tokens have them."""
+    every = np.sort(np.concatenate([whole, tops[tops != whole[split]]]))
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(every)), bool), every[1:] != every[:-1]]))
+    return every[first], np.diff(first, append=len(every)).astype(np.uint32)
+
+
+def pair_numbers(whole: np.ndarray, split: np.ndarray, tops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By token the number of its pair among those of ``pair_times``, and of the one that has the first bits of its symbol."""
+    every = np.concatenate([whole, tops])
+    order = np.argsort(every)
+    every = every.take(order)
+    number = np.zeros(len(every), np.intp)
+    np.cumsum(every[1:] != every[:-1], out=number[1:])
+    at = np.empty_like(number)
+    at[order] = number
+    at_top = at[: len(whole)].copy()
+    at_top[split] = at[len(whole) :]
+    return at[: len(whole)], at_top
 
 
 def pair(model: Model, context: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -481,9 +516,8 @@ def sends(model: Model, order: int, batches: Iterator[pa.RecordBatch]) -> Iterat
     for batch in batches:
         for r in batch.to_pylist():
             c = read_chunk(model, r)
-            pairs, whole, top = pairs_of(model, c, order)
-            times = np.bincount(whole, minlength=len(pairs)) + np.bincount(top[top != whole], minlength=len(pairs))
-            times = times.astype(np.uint32) * np.uint32(not r["held"])
+            pairs, times = pair_times(*token_pairs(model, c, order))
+            times *= np.uint32(not r["held"])
             found, word_times, _ = rarer_words(c if order == 1 else replace(c, hashes=c.hashes[:0]), r["held"])
             of_pairs, of_words = part_edges(model, pairs >> np.uint64(SYMBOL_BITS), model.context_bits), part_edges(model, found, 64)
             out = []
@@ -528,16 +562,19 @@ def node_states(model: Model, pairs: np.ndarray, total: np.ndarray) -> np.ndarra
     alive = np.arange(len(pairs))
     seen = None
     for depth in range(depths + 1):
+        if not len(alive):
+            break
+        # Of each run of one branch its size and sum, repeated for all in it.
         starts = np.flatnonzero(head)
-        which = np.cumsum(head) - 1
-        sums = np.add.reduceat(total[alive], starts)[which] if len(alive) else np.zeros(0)
+        size = np.diff(starts, append=len(alive))
+        sums = np.repeat(np.add.reduceat(total, starts), size)
         if depth:
             out[depth - 1, alive] = state(seen.astype(np.float32), sums.astype(np.float32))
-        several = (np.diff(np.append(starts, len(alive))) > 1)[which] if len(alive) else np.zeros(0, bool)
-        alive, head, seen = alive[several], head[several], sums[several]
-        if not len(alive) or depth == depths:
+        if depth == depths:
             break
-        bits = code[alive] >> np.uint64(31 - depth)
+        several = np.flatnonzero(np.repeat(size > 1, size))
+        alive, head, seen, total, code = (x.take(several) for x in (alive, head, sums, total, code))
+        bits = code >> np.uint64(31 - depth)
         head[1:] |= bits[1:] != bits[:-1]
     return out
 
@@ -546,28 +583,29 @@ def answer(model: Model, rows: pa.Table) -> pa.Table:
     """For each chunk that sent something: the states of its pairs and the counts of its words."""
     rows = rows.to_pylist()
     pairs, total, at = merged([from_pair_planes(model, r) for r in rows], [from_planes(r["times"], r["n"], np.uint32) for r in rows])
+    # States by depth, as differences from the depth before: along most paths they hardly change.
     states = node_states(model, pairs, total)
+    for depth in range(len(states) - 1, 0, -1):
+        states[depth] -= states[depth - 1]
     _, counts, word_at = merged([np.cumsum(from_planes(r["words"], r["n_words"], np.uint64), dtype=np.uint64) for r in rows], [from_planes(r["word_times"], r["n_words"], np.uint32) for r in rows])
     out, a, x = [], 0, 0
     for r in rows:
         b, y = a + r["n"], x + r["n_words"]
-        out.append({"chunk": r["chunk"], "part": r["part"], "n": r["n"], "states": told(states[:, at[a:b]]), "n_words": r["n_words"], "word_counts": planes(counts[word_at[x:y]].astype(np.int64))})
+        out.append({"chunk": r["chunk"], "part": r["part"], "n": r["n"], "states": pa.compress(states.take(at[a:b], axis=1), "zstd", asbytes=True), "n_words": r["n_words"], "word_counts": planes(counts[word_at[x:y]].astype(np.int64))})
         a, x = b, y
     return pa.Table.from_pylist(out, schema=_ANSWER)
 
 
-def told(states: np.ndarray) -> bytes:
-    """States by depth, as differences from the depth before, compressed: along most paths they hardly change."""
-    return pa.compress(np.diff(states, axis=0, prepend=np.uint8(0)).tobytes(), "zstd", asbytes=True)
-
-
 def heard(blobs: list[tuple[bytes, int]], depths: int) -> np.ndarray:
-    """The states (pair, depth) of all pairs of a chunk from what its parts ``told`` of so many."""
+    """The states (pair, depth) of all pairs of a chunk from what its parts answered of so many."""
     out, at = np.zeros((depths, sum(n for _, n in blobs)), np.uint8), 0
     for data, n in blobs:
         if n:
             flat = np.frombuffer(pa.decompress(data, n * depths, "zstd", asbytes=True), np.uint8)
-            np.cumsum(flat.reshape(depths, n), axis=0, dtype=np.uint8, out=out[:, at : at + n])
+            mine, change = out[:, at : at + n], flat.reshape(depths, n)
+            mine[0] = change[0]
+            for depth in range(1, depths):
+                np.add(mine[depth - 1], change[depth], out=mine[depth])
             at += n
     return np.ascontiguousarray(out.T)
 
@@ -582,10 +620,9 @@ _ANSWER = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int64
 ROWS_AT_ONCE = 128
 
 
-def refined(own: list[np.ndarray], row: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray], rows: int) -> np.ndarray:
-    """Nats that the bits of each row take, given the stretched probabilities of what they are; ``own`` weights learn from them."""
-    # Places are of the kind that numpy indexes by, so that they are converted once.
-    cell = row.astype(np.intp) * GATES
+def refined(own: list[np.ndarray], cell: np.ndarray, gate: np.ndarray, inputs: list[np.ndarray], rows: int) -> np.ndarray:
+    """Nats that the bits of each row take, given the stretched probabilities of what they are; ``own`` weights learn from them.
+    ``cell``: ``GATES`` times the row, of the kind that numpy indexes by; the gate is added to it."""
     cell += gate
     z = own[0].take(cell)
     z *= inputs[0]
@@ -599,7 +636,7 @@ def refined(own: list[np.ndarray], row: np.ndarray, gate: np.ndarray, inputs: li
     scale = RATE / np.sqrt(np.maximum(np.bincount(cell, minlength=rows * GATES), 1))
     for weight, x in zip(own, inputs, strict=True):
         weight += scale * np.bincount(cell, e * x, minlength=rows * GATES)
-    return np.bincount(row, cost, minlength=rows)
+    return np.bincount(cell, cost, minlength=rows * GATES).reshape(rows, GATES).sum(axis=1)
 
 
 def start_weights(rows: int) -> list[np.ndarray]:
@@ -618,22 +655,20 @@ def coded(model: Model, c: Chunk, after: list[tuple[np.ndarray, np.ndarray]], si
     step = group[c.row] * steps + c.place // BLOCK
     order = np.argsort(step, kind="stable")
     edges = np.flatnonzero(np.diff(step[order], prepend=-1, append=-1))
-    flat_own, size = model.tree.own.ravel(), size.astype(np.int32)
-    (one_states, one_at), (two_states, two_at) = ((states.ravel(), at * depths) for states, at in after)
+    size, every = size.astype(np.int32), np.arange(depths, dtype=np.int32)
+    (one_states, one_at), (two_states, two_at) = after
+    cell_of = within * GATES
     own, now = [], -1
     for lo, hi in zip(edges, edges[1:], strict=False):
         token = order[lo:hi]
         if group[c.row[token[0]]] != now:
             now, own = group[c.row[token[0]]], start_weights(ROWS_AT_ONCE)
         mine = size[token]
-        first = np.cumsum(mine, dtype=np.int64) - mine
-        at = np.arange(int(mine.sum()))
-        # Of each bit its place in the flat arrays: the token's place there, and how far the bit is from the token's first.
-        one, two, alone = (np.repeat(x - first, mine) + at for x in (one_at[token], two_at[token], c.symbol[token] * np.int64(depths)))
-        one, two = one_states.take(one), two_states.take(two)
+        # The whole paths of the tokens, and of these the places that count.
+        bit = np.flatnonzero(every < mine[:, None])
+        alone, one, two = (x.take(at[token], axis=0).ravel().take(bit) for x, at in ((model.tree.own, c.symbol), (one_states, one_at), (two_states, two_at)))
         gate = (one >> 6) * np.uint8(4) + (two >> 6)
-        row = np.repeat(within[c.row[token]].astype(np.int32), mine)
-        got = refined(own, row, gate, [flat_own.take(alone), _STRETCH_OF.take(one), _STRETCH_OF.take(two)], ROWS_AT_ONCE)
+        got = refined(own, np.repeat(cell_of[c.row[token]], mine), gate, [alone, _STRETCH_OF.take(one), _STRETCH_OF.take(two)], ROWS_AT_ONCE)
         rows_of = by_length[now * ROWS_AT_ONCE : (now + 1) * ROWS_AT_ONCE]
         cost[rows_of] += got[: len(rows_of)]
     return cost
@@ -644,21 +679,31 @@ def spelled(model: Model, byte_table: np.ndarray, data: bytes, row: np.ndarray,
     text = np.frombuffer(data, np.uint8)
     end = np.flatnonzero(text == 0x20)
     start = np.concatenate([[0], end[:-1] + 1]) if len(end) else end
-    letters, word, at = letters_of(text, start[unseen], end[unseen])
+    # Rows do not depend on each other, so that only the bits of some of them are held.
+    unseen, cost = np.flatnonzero(unseen), np.zeros(rows)
+    edges = np.searchsorted(row[unseen], np.arange(0, rows + ROWS_AT_ONCE, ROWS_AT_ONCE))
+    for lo, hi, first in zip(edges, edges[1:], range(0, rows, ROWS_AT_ONCE), strict=False):
+        if lo < hi:
+            mine, here = unseen[lo:hi], cost[first : first + ROWS_AT_ONCE]
+            here += spelled_rows(model, byte_table, letters_of(text, start[mine], end[mine]), row[mine] - first, place[mine] // BLOCK, len(here))
+    return cost
+
+
+def spelled_rows(model: Model, byte_table: np.ndarray, letters_of_words: tuple[np.ndarray, np.ndarray, np.ndarray], row: np.ndarray, step: np.ndarray, rows: int) -> np.ndarray:
+    """Nats that spell words, given ``letters_of`` them, and of each word the row and in how many steps its turn is."""
+    letters, word, at = letters_of_words
     cost, own = np.zeros(rows), start_weights(rows)
-    if not len(letters):
-        return cost
     which, bit, places = spelled_bits(model, letters, at)
     sign = np.where(bit, 1, -1).astype(np.float32)
     found = [byte_table[p] for p in places]
     gate = (found[1] >> 6) * np.uint8(4) + (found[2] >> 6)
     inputs = [sign * _STRETCH_OF[f] for f in found]
-    row, step = row[unseen][word][which], (place[unseen] // BLOCK)[word][which]
+    cell, step = (row * np.intp(GATES))[word][which], step[word][which]
     order = np.argsort(step, kind="stable")
     edges = np.flatnonzero(np.diff(step[order], prepend=-1, append=-1))
     for lo, hi in zip(edges, edges[1:], strict=False):
         now = order[lo:hi]
-        cost += refined(own, row[now], gate[now], [x[now] for x in inputs], rows)
+        cost += refined(own, cell[now], gate[now], [x[now] for x in inputs], rows)
     return cost
 
 
@@ -667,7 +712,7 @@ def score_chunk(model: Model, byte_table: np.ndarray, unseen: float, answers: li
     after, depths = [], model.tree.own.shape[1]
     answers = sorted(answers, key=lambda x: (x["words"], x["part"]))
     for order in (1, 2):
-        _, whole, top = pairs_of(model, c, order)
+        whole, top = pair_numbers(*token_pairs(model, c, order))
         states = heard([(x["states"], x["n"]) for x in answers if x["words"] == order], depths)
         # The first bits of a split context's symbol were counted apart.
         split = np.flatnonzero(whole != top)

@@ -249,6 +249,56 @@ def test_lm_against_brute_force(spark, monkeypatch):
         assert x["spelled_score"] <= x["score"] and x["bits_per_byte"] >= 0
 
 
+def test_lm_places_and_pairs_are_numbered_cheaply():
+    """What replaces binary searches and the numbering of pairs gives the same, and a place costs a part of a search."""
+    import time
+
+    import numpy as np
+
+    m = op02_mixing_lm
+    r = np.random.default_rng(5)
+    known, h = np.sort(r.integers(0, 2**64, 200_000, np.uint64)), r.integers(0, 2**64, 600_000, np.uint64)
+    h[:200_000], h[-2:] = known, [0, 2**64 - 1]
+    heads, cost = m.head_places(known), []
+    for find in (lambda: np.searchsorted(known, h), lambda: m.position(known, heads, h)):
+        start = time.process_time()
+        found = [find() for _ in range(3)][0]
+        cost.append((time.process_time() - start, found))
+    assert (cost[0][1] == cost[1][1]).all() and cost[1][0] < 0.7 * cost[0][0]
+    for few in (known[:0], known[:1], np.array([2**64 - 1], np.uint64)):
+        assert (m.position(few, m.head_places(few), h) == np.searchsorted(few, h)).all()
+    for n in (0, 1, 5000):
+        whole = r.integers(0, 900, n).astype(np.uint64)
+        split = np.flatnonzero(r.random(n) < 0.4)
+        tops = r.integers(0, 900, len(split)).astype(np.uint64)
+        found, at = np.unique(np.concatenate([whole, tops]), return_inverse=True)
+        number, top = m.pair_numbers(whole, split, tops)
+        pairs, times = m.pair_times(whole, split, tops)
+        assert (pairs == found).all() and (number == at[:n]).all() and (top[split] == at[n:]).all()
+        assert (np.delete(top, split) == np.delete(number, split)).all()
+        assert (times == np.bincount(number, minlength=len(found)) + np.bincount(top[top != number], minlength=len(found))).all()
+
+
+def test_lm_spells_some_rows_at_a_time(monkeypatch):
+    """The bits of one call are those of so many rows, not of a whole chunk, and rows cost what they cost alone."""
+    import numpy as np
+
+    m = op02_mixing_lm
+    model = m.built(*m.packed(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0), np.ones(1 << m.TRIE), 1, 10, np.ones(257))["parts"])
+    rows, texts = 300, [prose(i, 5) for i in range(300)]
+    n = [len(t.split()) for t in texts]
+    row, place = m.expand(np.array(n))
+    table, most, of = np.random.default_rng(3).integers(0, 256, m.BYTE_PLACES).astype(np.uint8), [], m.refined
+    monkeypatch.setattr(m, "refined", lambda own, cell, gate, inputs, rows: (most.append(rows), of(own, cell, gate, inputs, rows))[1])
+    data = " ".join(texts).encode() + b" "
+    got = m.spelled(model, table, data, row, place, np.ones(len(row), bool), rows)
+    assert max(most) <= m.ROWS_AT_ONCE and len(got) == rows
+    for i in (0, 127, 128, 299):
+        alone = m.spelled(model, table, texts[i].encode() + b" ", np.zeros(n[i], int), np.arange(n[i]), np.ones(n[i], bool), 1)
+        assert math.isclose(alone[0], got[i], rel_tol=1e-9)
+    assert not m.spelled(model, table, data, row, place, np.zeros(len(row), bool), rows).any()
+
+
 # ---- 3
 
 
