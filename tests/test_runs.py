@@ -71,3 +71,18 @@ def test_envelopes(spark):
     rows = spark.createDataFrame([("a.pdf", 1, 2, "high", ["x"])], "file string, start int, end int, verdict string, problems array<string>")
     back = files.queue(sinks.json_envelope(rows, "queue").unionByName(spark.createDataFrame([("{",), ("[]",)], "value string")))
     assert [tuple(r)[1:] for r in back.collect()] == [("a.pdf", 1, 2, "high", ["x"])]
+
+
+def test_engines_get_bounded_frames(spark, monkeypatch):
+    """One partition's rows reach an engine in frames of bounded rows and bytes, each row once and in turn; nulls stay."""
+
+    def sizes(rows):
+        return rows.assign(n=len(rows), chars=int(rows["text"].str.len().sum()))[["doc_id", "n", "chars"]]
+
+    monkeypatch.setitem(plugins.REGISTRY, "sizes", (sizes, "doc_id long, n int, chars long"))
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "CASE WHEN id % 7 <> 0 THEN repeat('x', IF(id > 2900, 100000, 10)) END AS text")
+    got = plugins.call("sizes", docs).collect()
+    assert [r["doc_id"] for r in got] == list(range(3000))
+    assert max(r["n"] for r in got) <= plugins.ROWS and max(r["chars"] for r in got) <= plugins.BYTES
+    few = spark.createDataFrame([(None, "a\nlorem b"), (5, None), (6, "lorem"), (7, "")], "doc_id long, text string").coalesce(1)
+    assert [tuple(r) for r in plugins.call("clean", few).collect()] == [(None, True, "a"), (5, False, None), (6, False, "lorem"), (7, False, "")]
